@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, packing, quality_classifier, quality_rules, url_filter
+from . import chat_format, minhash, packing, quality_classifier, quality_rules, url_filter
 from .common import table
 
 
@@ -19,6 +19,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = quality_classifier.score_quality(docs, quality_classifier.learn(docs, table(spark, sf_dir, "labels")))
@@ -55,6 +59,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op3_minhash": op3_minhash,
     "op4_quality_classifier": op4_quality_classifier,
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filter": op9_url_filter,
