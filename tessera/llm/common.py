@@ -52,7 +52,7 @@ def bitmap(keys: DataFrame, key: str, words: int = BITMAP_WORDS) -> Column:
     With maybe() it drops most rows that a later join would drop; the join itself stays, so more keys only drop less.
     """
     h = F.pmod(F.col(key), F.lit(64 * words))
-    set_ = keys.select(F.floor(h / 64).cast("long").alias("w"), F.expr(f"shiftleft(1L, cast(pmod({key}, 64) as int))").alias("b"))
+    set_ = keys.select(F.shiftright(h, 6).cast("long").alias("w"), F.expr(f"shiftleft(1L, cast(pmod({key}, 64) as int))").alias("b"))
     set_ = set_.groupBy("w").agg(F.bit_or("b").alias("b"))
     every = keys.sparkSession.range(words).withColumnRenamed("id", "w").join(set_, "w", "left")
     rows = every.agg(F.array_sort(F.collect_list(F.struct("w", F.coalesce("b", F.lit(0).cast("long")).alias("b")))).alias("rows"))
@@ -62,5 +62,5 @@ def bitmap(keys: DataFrame, key: str, words: int = BITMAP_WORDS) -> Column:
 def maybe(bits: Column, key: Column, words: int = BITMAP_WORDS) -> Column:
     """False only if key's bit isn't set."""
     at = F.pmod(key, F.lit(64 * words))
-    word = F.get(bits, F.floor(at / 64).cast("int"))
+    word = F.get(bits, F.shiftright(at, 6).cast("int"))
     return F.getbit(word, F.pmod(key, F.lit(64)).cast("int")) == 1

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, minhash, packing, quality_classifier, quality_rules, url_filter
+from . import chat_format, decontaminate, minhash, packing, quality_classifier, quality_rules, url_filter
 from .common import table
 
 
@@ -30,6 +30,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_quality_rules(table(spark, sf_dir, "documents")).select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
 
@@ -61,6 +65,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op3_minhash": op3_minhash,
     "op4_quality_classifier": op4_quality_classifier,
+    "op6_decontaminate": op6_decontaminate,
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filter": op9_url_filter,
     "op10_chat_format": op10_chat_format,
@@ -94,6 +99,24 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f JOIN b ON f.source IS NOT DISTINCT FROM b.source
 """
 
+OP6_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents),
+b AS (
+  SELECT item_id::VARCHAR AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark),
+i AS (SELECT item_id, ws, least(len(ws), 10) AS n, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS pos FROM b WHERE len(ws) > 0),
+w AS (SELECT DISTINCT item_id, n, array_to_string(list_slice(ws, pos, pos + n - 1), ' ') AS win FROM i),
+s AS (SELECT k, n, ws, unnest(range(1, len(ws) - n + 2)) AS pos FROM d, (SELECT DISTINCT n FROM w) WHERE len(ws) >= n),
+o AS (SELECT k, pos, s.n, item_id FROM s JOIN w ON s.n = w.n AND array_to_string(list_slice(ws, pos, pos + s.n - 1), ' ') = win),
+p AS (SELECT k, count(DISTINCT x) AS n_hit FROM (SELECT k, unnest(range(pos, pos + n)) AS x FROM o) GROUP BY k),
+q AS (SELECT k, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT k, item_id FROM o) GROUP BY k)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN p USING (k) LEFT JOIN q USING (k)
+"""
+
 OP10_SQL = r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -109,4 +132,4 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
-ORACLES = {"op8_quality_rules": OP8_SQL, "op10_chat_format": OP10_SQL}
+ORACLES = {"op6_decontaminate": OP6_SQL, "op8_quality_rules": OP8_SQL, "op10_chat_format": OP10_SQL}
