@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -12,37 +14,56 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, padded long"
-#: Words that a worker remembers the ids of; beyond it the memory starts anew.
-CACHE_WORDS = 400_000
+#: Words and their parts that a worker remembers the ids of; beyond it either memory starts anew.
+CACHE_WORDS, CACHE_PARTS = 200_000, 1_000_000
 WORD = re.compile(r"[^ \t\n\r\x0b\x0c]+")
+#: Words that the tokenizer splits where letters of Latin-1 meet ASCII punctuation: no digit, apostrophe or control string.
+LETTERS, PUNCTUATION = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", re.escape("!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~")
+PLAIN = re.compile(f"[{LETTERS}{PUNCTUATION}]+")
+PARTS = re.compile(f"[{LETTERS}]+|[{PUNCTUATION}]+")
 
 
 class WordTokens:
-    """Ids of a text as little-endian uint32 bytes, by a tokenizer that drops white space and never joins words.
+    """Ids of a text as little-endian uint32 bytes, by a lower-casing tokenizer that drops white space and never joins words.
 
-    Each distinct word (a run without ASCII white space) is encoded once by the tokenizer itself.
+    Each distinct part of a word is encoded once by the tokenizer itself: a run of letters or of punctuation of a plain
+    word, or any other word as a whole.
     """
 
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.encode, self.cache, self.most = Tokenizer.from_file(path).encode, {}, cache_words
+        self.encode, self.words, self.parts = Tokenizer.from_file(path).encode, {}, {}
+
+    def part(self, p: str) -> bytes:
+        ids = self.parts.get(p)
+        if ids is None:
+            if len(self.parts) >= CACHE_PARTS:
+                self.parts.clear()
+            ids = np.asarray(self.encode(p, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            if len(p) <= 64:
+                self.parts[p] = ids
+        return ids
 
     def word(self, w: str) -> bytes:
-        if len(self.cache) >= self.most:
-            self.cache.clear()
-        ids = np.asarray(self.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        ids = b"".join(map(self.part, PARTS.findall(w.lower()))) if PLAIN.fullmatch(w) else self.part(w)
+        if len(self.words) >= CACHE_WORDS:
+            self.words.clear()
         if len(w) <= 64:
-            self.cache[w] = ids
+            self.words[w] = ids
         return ids
 
     def __call__(self, text: str) -> bytes:
-        words = WORD.findall(text)
-        try:
-            return b"".join([self.cache[w] for w in words])
-        except KeyError:
-            known = self.cache.get
-            return b"".join([known(w) or self.word(w) for w in words])
+        known, word = self.words.get, self.word
+        return b"".join([known(w) or word(w) for w in WORD.findall(text)])
+
+    @classmethod
+    def held(cls, path: str) -> WordTokens:
+        """The one of this Python process, which outlives a task."""
+        kept = sys.modules.setdefault("_tessera_kept", types.ModuleType("_tessera_kept")).__dict__
+        if ("tokens", path) not in kept:
+            kept["tokens", path] = cls(path)
+        return kept["tokens", path]
 
 
 class Packer:
@@ -135,7 +156,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, window: int = 2048, end_id:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tokens, packer = WordTokens(tokenizer), Packer(window)
+        tokens, packer = WordTokens.held(tokenizer), Packer(window)
         number = (TaskContext.get().partitionId() << 32) if TaskContext.get() else 0
         end = np.asarray([end_id], dtype="<u4").tobytes()
         for batch in batches:
