@@ -14,12 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, padded long"
-#: Words and their parts that a worker remembers the ids of; beyond it either memory starts anew.
-CACHE_WORDS, CACHE_PARTS = 200_000, 1_000_000
+#: Parts of words that a worker remembers the ids of; beyond it the memory starts anew.
+CACHE_PARTS = 1_500_000
 WORD = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 #: Words that the tokenizer splits where letters of Latin-1 meet ASCII punctuation: no digit, apostrophe or control string.
 LETTERS, PUNCTUATION = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", re.escape("!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~")
-PLAIN = re.compile(f"[{LETTERS}{PUNCTUATION}]+")
+PLAIN = re.compile(f"[{LETTERS}{PUNCTUATION} \\t\\r\\x0b\\x0c]*")
 PARTS = re.compile(f"[{LETTERS}]+|[{PUNCTUATION}]+")
 
 
@@ -33,7 +33,7 @@ class WordTokens:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.encode, self.words, self.parts = Tokenizer.from_file(path).encode, {}, {}
+        self.encode, self.parts = Tokenizer.from_file(path).encode, {}
 
     def part(self, p: str) -> bytes:
         ids = self.parts.get(p)
@@ -45,17 +45,12 @@ class WordTokens:
                 self.parts[p] = ids
         return ids
 
-    def word(self, w: str) -> bytes:
-        ids = b"".join(map(self.part, PARTS.findall(w.lower()))) if PLAIN.fullmatch(w) else self.part(w)
-        if len(self.words) >= CACHE_WORDS:
-            self.words.clear()
-        if len(w) <= 64:
-            self.words[w] = ids
-        return ids
-
     def __call__(self, text: str) -> bytes:
-        known, word = self.words.get, self.word
-        return b"".join([known(w) or word(w) for w in WORD.findall(text)])
+        known, part, out = self.parts.get, self.part, []
+        for line in text.split("\n"):
+            parts = PARTS.findall(line.lower()) if PLAIN.fullmatch(line) else [p for w in WORD.findall(line) for p in (PARTS.findall(w.lower()) if PLAIN.fullmatch(w) else (w,))]
+            out += [known(p) or part(p) for p in parts]
+        return b"".join(out)
 
     @classmethod
     def held(cls, path: str) -> WordTokens:
