@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, minhash, packing, quality_classifier, quality_rules, url_filter
+from . import chat_format, decontaminate, html_extract, license_scan, minhash, packing, quality_classifier, quality_rules, token_counts, url_filter
 from .common import table
 
 
@@ -19,6 +19,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -30,10 +34,19 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+    return found.withColumn("found", F.array_join("found", ","))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_quality_rules(table(spark, sf_dir, "documents")).select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
 
@@ -63,9 +76,12 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_token_counts": op2_token_counts,
     "op3_minhash": op3_minhash,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_html_extract": op5_html_extract,
     "op6_decontaminate": op6_decontaminate,
+    "op7_license_scan": op7_license_scan,
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filter": op9_url_filter,
     "op10_chat_format": op10_chat_format,
