@@ -12,7 +12,6 @@ import re
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -198,7 +197,6 @@ LABELLED = (
 )
 
 
-@lru_cache(1)
 def weights() -> np.ndarray:
     """Logistic weights of the features and a constant, fitted on LABELLED."""
     x, y = [], []
@@ -252,13 +250,12 @@ def min_cut(gain: list[float], edges: list[tuple[int, int, float]]) -> list[bool
             near[b][a] += flow
 
 
-def extract(page: str | None, smooth: float = 0.8) -> str:
-    """The main text: content blocks joined by newlines; empty for null or if there is none."""
+def extract(page: str | None, w: np.ndarray, smooth: float = 0.8) -> str:
+    """The main text: content blocks joined by newlines; empty for null or if there is none. w: from weights()."""
     found = blocks(page or "")
     if not found:
         return ""
     inside = any(b.node.yes for b in found)
-    w = weights()
     gain = (np.array([features(b, inside) for b in found]) @ w[:-1] + w[-1]).tolist()
     edges, last = [], {}
     for k, b in enumerate(found):
@@ -282,11 +279,13 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     repeated rows stay; an empty table gives no rows; other columns are ignored.
     """
 
+    w = weights()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 b = whole.slice(at, 1000)
-                texts = [extract(x.as_py(), smooth) for x in b.column(2)]
+                texts = [extract(x.as_py(), w, smooth) for x in b.column(2)]
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
