@@ -10,12 +10,16 @@ gives the only place where the window can be, and the words there are compared e
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import bitmap, lower_az, maybe, written
 
+#: Words of the bitmap of prefixes: 512 KB, whatever the benchmark holds.
+BITS = 1 << 16
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -54,38 +58,28 @@ def window_items(items: DataFrame, window: int) -> DataFrame:
 
 
 def occurrences(docs: DataFrame, items: DataFrame, window: int, shingle: int) -> DataFrame:
-    """row_key, start (0-based word), len, win: each occurrence of a window in a document (row_key, w)."""
+    """row_key, start (0-based word), len, win: each occurrence of a window in a document (row_key, w).
+
+    The words are exploded and hashed inside one stage of generated code, where w is passed on by reference; of the
+    places only those go on whose shingle may be a prefix, with the words that a window there can cover. The explode is
+    an outer one, since of the other kind Spark infers a filter and with it makes w twice.
+    """
     wins = written(item_windows(items, window, shingle), "windows")
-    docs = docs.select("row_key", "w", bitmap(wins.select("key").distinct(), "key").alias("bits"), wins.agg(F.collect_set("q").alias("q")).select("q").scalar().alias("lengths"))
-    n = F.size("w")
-    # places whose shingle may be a prefix, with the words around it that any window there can cover
-    place = lambda i, q: F.struct(i.alias("i"), q.alias("q"))
-    at = F.flatten(
-        F.transform(
-            "lengths",  # of prefixes: at most `shingle` numbers
-            lambda q: F.transform(
-                F.filter(F.sequence(F.lit(1), F.greatest(n - q + 1, F.lit(1))), lambda i: (i + q - 1 <= n) & maybe(F.col("bits"), shingle_hash(q, F.slice("w", i, q)))),
-                lambda i: place(i, q),
-            ),
-        )
-    )
-    # no filter on places, and an outer explode: a filter would be pushed down with all that makes w put into the lambdas
-    found = docs.select("row_key", "w", at.alias("places"))
-    reach = window - 1
-    around = F.transform(
-        "places",
-        lambda p: F.struct(
-            p["i"].alias("i"),
-            shingle_hash(p["q"], F.slice("w", p["i"], p["q"])).alias("key"),
-            F.greatest(p["i"] - reach, F.lit(1)).alias("from"),
-            F.slice("w", F.greatest(p["i"] - reach, F.lit(1)), p["i"] + reach - F.greatest(p["i"] - reach, F.lit(1)) + 1).alias("near"),
-        ),
-    )
-    rows = found.select("row_key", F.explode_outer(around).alias("p")).where(F.col("p").isNotNull()).select("row_key", "p.*")
-    start = F.col("i") - F.col("at")  # 1-based, by the shingle's place in the window
+    sizes = sorted(r.q for r in wins.select("q").distinct().collect())  # at most `shingle` numbers
+    if not sizes:
+        return docs.sparkSession.createDataFrame([], "row_key string, start int, len int, win string")
+    bits = bitmap(wins.select("key").distinct(), "key", BITS)
+    places = docs.select("row_key", "w", F.posexplode_outer("w").alias("pos", "word"))
+    key = lambda q: F.xxhash64(F.lit(q), *[F.get("w", F.col("pos") + j) for j in range(q)])
+    may = functools.reduce(lambda x, y: x | y, [maybe(bits, key(q), BITS) for q in sizes])
+    first = F.greatest(F.col("pos") - (window - 1), F.lit(0))
+    near = F.slice("w", first + 1, F.col("pos") + window - first)
+    rows = places.where(F.col("pos").isNotNull() & may).select("row_key", "pos", first.alias("from"), near.alias("near"), F.array(*[key(q) for q in sizes]).alias("keys"))
+    rows = rows.select("row_key", "pos", "from", "near", F.explode("keys").alias("key"))
+    start = F.col("pos") - F.col("at")
     met = rows.join(wins, "key").where((start >= F.col("from")) & (start - F.col("from") + F.col("len") <= F.size("near")))
     same = F.array_join(F.slice("near", start - F.col("from") + 1, F.col("len")), " ") == F.col("win")
-    return met.where(same).select("row_key", (start - 1).alias("start"), "len", "win")
+    return met.where(same).select("row_key", start.alias("start"), "len", "win")
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, window: int = 10, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
