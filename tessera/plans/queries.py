@@ -9,7 +9,9 @@ from ..functions import scalars
 from ..operators import cluster, geometry, normalize, spatial, tables, tiles, typing_rules
 from ..schema import CHANNELS, MEASURED, channels
 from ..sinks.exports import feature_lines
+from ..streaming import ingest
 from . import views
+from .pipeline import Pipeline
 from .views import CELLS, INTERACTIONS, PIXELS, long_sql
 
 QUERIES: dict = {}
@@ -354,11 +356,11 @@ def _(s, d):
 
 @query(
     "w04_progress",
-    "SELECT event_id, user_id, count(*) OVER w AS done, round(avg(value) OVER w, 4) AS mean_s, round(avg(value) OVER w * (count(*) OVER (PARTITION BY user_id) - count(*) OVER w), 6) AS remaining_s FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING)",
+    "SELECT event_id, user_id, count(*) OVER w AS done, round(avg(value) OVER w, 6) AS mean_s, round(avg(value) OVER w * (count(*) OVER (PARTITION BY user_id) - count(*) OVER w), 6) AS remaining_s FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING)",
 )
 def _(s, d):
     p = tables.progress(views.table(s, d, "events").select("event_id", "user_id", "value"), "event_id", "value", "user_id")
-    return p.select("event_id", "user_id", "done", F.round("mean_s", 4).alias("mean_s"), F.round("remaining_s", 6).alias("remaining_s"))
+    return p.select("event_id", "user_id", "done", F.round("mean_s", 6).alias("mean_s"), F.round("remaining_s", 6).alias("remaining_s"))
 
 
 @query(
@@ -424,3 +426,104 @@ def _(s, d):
 @query("k07_geojson")
 def _(s, d):
     return feature_lines(views.cells(s, d).select("cell_id", "x", "y", "cluster", "CD45"), ["cluster", "CD45"])
+
+
+# --- questions put together from the operators ----------------------------------------------------------------------
+
+
+@query(
+    "j02_three_way_positional_join",
+    "WITH a AS (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS row_idx FROM events), b AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS row_idx FROM orders), "
+    "c AS (SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) - 1 AS row_idx FROM part) SELECT row_idx, event_id, o_orderkey, p_partkey FROM a JOIN b USING (row_idx) JOIN c USING (row_idx)",
+)
+def _(s, d):
+    two = tables.positional_join(views.table(s, d, "events").select("event_id"), views.table(s, d, "orders").select("o_orderkey"), ["event_id"], ["o_orderkey"])
+    return two.join(tables.with_row_index(views.table(s, d, "part").select("p_partkey"), ["p_partkey"]), "row_idx")
+
+
+@query("u02_append_once", "SELECT DISTINCT c_custkey, c_nationkey FROM (SELECT * FROM customer WHERE c_nationkey < 15 UNION ALL SELECT * FROM customer WHERE c_nationkey > 10)")
+def _(s, d):
+    c = views.table(s, d, "customer").select("c_custkey", "c_nationkey")
+    return c.where("c_nationkey < 15").unionByName(c.where("c_nationkey > 10")).dropDuplicates(["c_custkey"])
+
+
+@query("a05_categories", "SELECT DISTINCT event_type FROM events")
+def _(s, d):
+    return views.table(s, d, "events").select("event_type").distinct()
+
+
+INSIDE = "ins AS (SELECT cell_id, region_id FROM cells JOIN edges ON (ay > y) <> (bt > y) AND x < (bx - ax) * (y - ay) / (bt - ay) + ax GROUP BY 1, 2 HAVING count(*) % 2 = 1)"
+
+
+@query(
+    "d01_inside_and_outside_regions",
+    with_(CELLS, EDGES, INSIDE, "c AS (SELECT coalesce(region_id, 0) AS region_id, cluster FROM cells LEFT JOIN ins USING (cell_id))")
+    + "SELECT region_id, cluster, count(*) AS cells, round(count(*) / sum(count(*)) OVER (PARTITION BY region_id), 6) AS share FROM c GROUP BY 1, 2",
+)
+def _(s, d):
+    c = views.cells(s, d).select("cell_id", "x", "y", "cluster")
+    at = c.join(geometry.points_in_polygons(c, regions(s)), "cell_id", "left").select(F.coalesce("region_id", F.lit(0)).alias("region_id"), "cluster")
+    n = at.groupBy("region_id", "cluster").agg(F.count(F.lit(1)).alias("cells"))
+    total = n.groupBy("region_id").agg(F.sum("cells").alias("t"))
+    return rounded(n.join(total, "region_id").select("region_id", "cluster", "cells", (F.col("cells") / F.col("t")).alias("share")))
+
+
+@query(
+    "d02_states_by_type",
+    _typing_sql() + "SELECT a.cell_type, count(*) FILTER (k.level = 'high') AS high, count(*) FILTER (k.level = 'medium') AS medium, count(*) FILTER (k.level = 'low') AS low FROM typed a JOIN (SELECT * FROM lv WHERE marker = 'Ki67') k USING (cell_id) WHERE ref_id = 1 GROUP BY 1",
+)
+def _(s, d):
+    levels = typing_rules.marker_levels(tables.measurements(views.cells(s, d), MEASURED))
+    types = typing_rules.assign_types(levels, measured=MEASURED).where("ref_id = 1").select("cell_id", "cell_type")
+    wide = types.join(levels.where("marker = 'Ki67'"), "cell_id").groupBy("cell_type").pivot("level", ["high", "medium", "low"]).agg(F.count(F.lit(1)))
+    return wide.na.fill(0, ["high", "medium", "low"])
+
+
+@query(
+    "d03_group_interface",
+    with_(CELLS, PAIRS.format(r2=2500)) + "SELECT CASE WHEN ca < 5 THEN 'immune' ELSE 'tumour' END AS group_a, CASE WHEN cb < 5 THEN 'immune' ELSE 'tumour' END AS group_b, count(*) AS pairs, min(d2) AS nearest FROM pairs GROUP BY 1, 2",
+)
+def _(s, d):
+    group = lambda c: F.when(F.col(c) < 5, "immune").otherwise("tumour")
+    p = spatial.radius_pairs(views.cells(s, d), 50, ("cluster",))
+    return p.groupBy(group("cluster_a").alias("group_a"), group("cluster_b").alias("group_b")).agg(F.count(F.lit(1)).alias("pairs"), F.min("d2").alias("nearest"))
+
+
+@query("k08_measurement_lines", with_(CELLS) + "SELECT cell_id, concat_ws(chr(9), cell_id, x, y, cluster, \"CD45\") AS line FROM cells")
+def _(s, d):
+    c = views.cells(s, d)
+    return c.select("cell_id", F.concat_ws("\t", *[F.col(n).cast("string") for n in ("cell_id", "x", "y", "cluster", "CD45")]).alias("line"))
+
+
+PLANS = [(4000, 6000, 8.0), (512, 512, 4.0), (90_000, 50_000, 64.0), (3000, 3000, 1.5)]
+
+
+@query(
+    "f01_f02_tile_plan",
+    "WITH p(h, w, gb) AS (VALUES " + ", ".join(f"({h}::DOUBLE, {w}::DOUBLE, {gb}::DOUBLE)" for h, w, gb in PLANS) + "), "
+    "q AS (SELECT *, least((gb - 1) * 0.75 * power(1024, 3) / 40, power(1024, 3) / 4) AS px FROM p), r AS (SELECT *, floor(sqrt(px / (w / h))) AS th FROM q), "
+    "t AS (SELECT h, w, least(h, greatest(256, floor(th / 256) * 256)) AS tile_h, least(w, greatest(256, floor(floor(th * (w / h)) / 256) * 256)) AS tile_w FROM r) "
+    "SELECT h::BIGINT AS h, w::BIGINT AS w, tile_h::BIGINT AS tile_h, tile_w::BIGINT AS tile_w, least(greatest(floor(tile_h * 0.1), 100), floor(tile_h / 2))::BIGINT AS overlap FROM t",
+)
+def _(s, d):
+    rows = []
+    for h, w, gb in PLANS:
+        th, tw = scalars.tile_size(h, w, gb)
+        rows.append((h, w, th, tw, scalars.overlap(th)))
+    return s.createDataFrame(rows, "h long, w long, tile_h long, tile_w long, overlap long")
+
+
+@query("st01_windowed_counts", "SELECT strftime(time_bucket(INTERVAL '5 minutes', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def _(s, d):
+    n = ingest.windowed_counts(views.table(s, d, "events"), "ts", "event_type")
+    return n.withColumn("start", F.date_format("start", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("c01_stage_lineage")
+def _(s, d):
+    return Pipeline(s, views.cells(s, d)).lineage()
+
+
+@query("ml07_typed_interactions")
+def _(s, d):
+    return Pipeline(s, views.cells(s, d)).stage("interactions")
