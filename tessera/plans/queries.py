@@ -356,11 +356,11 @@ def _(s, d):
 
 @query(
     "w04_progress",
-    "SELECT event_id, user_id, count(*) OVER w AS done, round(avg(value) OVER w, 6) AS mean_s, round(avg(value) OVER w * (count(*) OVER (PARTITION BY user_id) - count(*) OVER w), 6) AS remaining_s FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING)",
+    "WITH e AS (SELECT event_id, user_id, cast(round(value * 100) AS bigint) AS cs FROM events) SELECT event_id, user_id, count(*) OVER w AS done, avg(cs) OVER w AS mean_s, avg(cs) OVER w * (count(*) OVER (PARTITION BY user_id) - count(*) OVER w) AS remaining_s FROM e WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING)",
 )
 def _(s, d):
-    p = tables.progress(views.table(s, d, "events").select("event_id", "user_id", "value"), "event_id", "value", "user_id")
-    return p.select("event_id", "user_id", "done", F.round("mean_s", 6).alias("mean_s"), F.round("remaining_s", 6).alias("remaining_s"))
+    e = views.table(s, d, "events").select("event_id", "user_id", F.round(F.col("value") * 100).cast("long").alias("cs"))  # whole numbers, so that sums are exact
+    return tables.progress(e, "event_id", "cs", "user_id").select("event_id", "user_id", "done", "mean_s", "remaining_s")
 
 
 @query(
