@@ -18,9 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=\"'/<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
-SPACE = re.compile(r"[ \t\n\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]+")
+SPACE = re.compile(r"\s+")
 #: Their text is none: it ends only at their own end tag.
 RAW = frozenset("script style noscript template iframe noembed noframes xmp svg math canvas object audio video".split())
 RCDATA = frozenset("title textarea".split())
@@ -173,7 +173,7 @@ def blocks(page: str) -> list[Block]:
             at = end.end() if end else len(page)
             close(node)
     for b in found:
-        b.text = SPACE.sub(" ", "".join(b.parts)).strip(" ")
+        b.text = SPACE.sub(" ", "".join(b.parts)).strip()
     return [b for b in found if b.text]
 
 

@@ -206,6 +206,7 @@ def test_pages_give_their_articles(spark):
         (None, ""),
         ("", ""),
         ("<nav><a href=x>Home</a></nav>", ""),
+        ("<article><p>a <a href=\"x>b</a> c\u00a0&nbsp;d</p></article>", "a b c d"),
         ("<article><p>a &lt;b&gt; &eacute;&#233;<p>c\n  d<br>e</article>", "a <b> éé\nc d e"),
         ("<article><h1>T</h1><script>var a='</p><p>no'</script><!-- <p>no</p> --><style>p{}</style><p>Some words of the article.</p><aside>no</aside><form><p>no</p></form></article><footer>no</footer>", "T\nSome words of the article."),
         ("<main><p>First of the words.</p><div class='ad'>Buy it now</div><p>Last of the words.</p><section id='comments'><p>I like it very much indeed</p></section></main>", "First of the words.\nLast of the words."),
