@@ -21,13 +21,14 @@ ORACLE_SQL = None
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of docs whose doc_id isn't in ids; rows without an id are judged as id null."""
-    return docs.join(ids.select(F.col("doc_id").alias("gone")).distinct(), F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
+    gone = ids.select(F.col("doc_id").alias("gone")).distinct()
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone"]), "left_anti")
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality_classifier.learn(docs, table(spark, sf_dir, "labels"))
-    scored = quality_classifier.score_quality(docs, model, keep=tuple(c for c in docs.columns if c != "doc_id"))
-    return scored.where(F.col("score") >= LEAST_SCORE).select(*docs.columns)
+    scored = quality_classifier.score_quality(docs, model, keep=tuple(c for c in docs.columns if c != "doc_id"), score_col="quality_score__")
+    return scored.where(F.col("quality_score__") >= LEAST_SCORE).select(*docs.columns)
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

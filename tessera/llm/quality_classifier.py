@@ -103,8 +103,8 @@ def fit(texts: dict[int, list[str]], params: Params | None = None) -> Model:
     return Model(good, bad, mean.tolist(), scale.tolist(), _logistic((x - mean) / scale, y).tolist(), p)
 
 
-def score_quality(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the columns `keep`, score (0 to 1): one row per row of docs, whole texts, no shuffle.
+def score_quality(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), score_col: str = "score") -> DataFrame:
+    """doc_id, the columns `keep`, score_col (0 to 1): one row per row of docs, whole texts, no shuffle.
 
     A null text is scored as an empty one. Null ids and repeated rows stay; an empty table gives no rows.
     """
@@ -115,11 +115,11 @@ def score_quality(docs: DataFrame, model: Model, id_col: str = "doc_id", text_co
         for b in batches:
             x = np.array([features(t.as_py() or "") for t in b.column(b.num_columns - 1)]).reshape(-1, FEATURES)
             score = 1 / (1 + np.exp(-np.clip(((x - mean) / scale) @ w[:-1] + w[-1], -40, 40)))
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(score, pa.float64())], names=[*b.schema.names[:-1], "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(score, pa.float64())], names=[*b.schema.names[:-1], score_col])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), *keep, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text__"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(run, schema + ", score double")
+    return rows.mapInArrow(run, schema + f", `{score_col}` double")
 
 
 def learn(docs: DataFrame, labels: DataFrame, params: Params | None = None, label: str = "quality") -> Model:
@@ -133,5 +133,5 @@ def learn(docs: DataFrame, labels: DataFrame, params: Params | None = None, labe
     known = known.join(docs.select("doc_id"), "doc_id", "left_semi")
     first = lambda k: known.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(p.sample)
     chosen = F.broadcast(first(0).union(first(1)))  # 2 * params.sample rows of two numbers
-    rows = docs.join(chosen, "doc_id").where(F.col("text").isNotNull()).select("label", F.xxhash64("doc_id"), F.substring("text", 1, p.sample_chars)).collect()
+    rows = docs.select("doc_id", "text").join(chosen, "doc_id").where(F.col("text").isNotNull()).select("label", F.xxhash64("doc_id"), F.substring("text", 1, p.sample_chars)).collect()
     return fit({k: [t for label, _, t in sorted(map(tuple, rows)) if label == k] for k in (0, 1)}, p)

@@ -36,3 +36,19 @@ def test_pipeline(spark):
         if name == "decontamination":
             assert decontaminate.find_contamination(docs, table(spark, DIR, "benchmark")).where("contaminated").count() == 0
     assert {r.doc_id for r in docs.select("doc_id").distinct().collect()} == {r.doc_id for r in before.select("doc_id").collect()}
+
+
+def test_pipeline_of_odd_rows(spark):
+    text = " ".join(f"Word{k} and{k} go{k}" for k in range(60))
+    rows = [(1, text, "s"), (2, text, "s"), (None, text + " more", None), (3, None, "s"), (4, "", None), (5, "short", "s"), (2, text, "s"), (6, "long " * 40_000, "s")]
+    docs = spark.createDataFrame([(k, t, "en", s, None, 0.1, 1, 2, "n") for k, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long, score double, gone int, label int, node string")
+    for name, stage in corpus_pipeline.STAGES:
+        for given in (docs, docs.limit(0)):
+            out = stage(spark, given, DIR)
+            if name != "packing":
+                assert out.columns == docs.columns
+            n = out.count()
+            assert n == 0 if given is not docs else n > 0
+    left = corpus_pipeline.dedup(spark, docs, DIR).collect()
+    assert sorted(r.doc_id or 0 for r in left) == [0, 1, 3, 4, 5, 6]
+    assert sorted(r.doc_id or 0 for r in corpus_pipeline.rules(spark, docs, DIR).collect()) == [0, 1, 2, 2]
