@@ -328,6 +328,26 @@ def test_url_rules_and_model(spark):
     assert url_filter.filter_urls(rows.limit(0), [], model).count() == 0
 
 
+def test_url_model_on_held_out_hosts(spark):
+    rows = url_filter.labelled_hosts()
+    sites = {re.sub(r"^(www|blog|m)\.|\.example\..*$", "", r.host) for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select(F.regexp_extract("url", "://([^/?#]*)", 1).alias("host")).distinct().collect()}
+    assert len(sites) > 20 and not any(site in host for site in sites for _, host, _, _ in rows)
+    held = [zlib.crc32(host.encode()) % 5 == 0 for _, host, _, _ in rows]
+    model = url_filter.train(url_filter.labelled_urls(spark, [r for r, out in zip(rows, held) if not out]))
+    given = url_filter.labelled_urls(spark, [r for r, out in zip(rows, held) if out])
+    verdict = {r.page_id: r.verdict for r in url_filter.filter_urls(given, [], model, id_col="url").collect()}
+    right = {1.0: [], 0.0: []}
+    for r in given.collect():
+        right[r.label].append(verdict[r.url] == ("block" if r.label else "allow"))
+    assert np.mean(right[1.0]) > 0.9 and np.mean(right[0.0]) > 0.97
+
+
+def test_grams_have_their_size(spark):
+    got = spark.sql("SELECT 'ab' AS h, '/cde' AS p").select(url_filter.gram_buckets(F.col("h"), F.col("p"), (3, 4), 1 << 20).alias("k"))
+    want = spark.createDataFrame([(w,) for n in (3, 4) for w in ["^ab$/cde"[i : i + n] for i in range(9 - n)]], "w string").select(F.pmod(F.xxhash64("w"), F.lit(1 << 20)).alias("k"))
+    assert sorted(got.first().k) == sorted(r.k for r in want.collect())
+
+
 # --- chats ---------------------------------------------------------------------------------------------------------
 
 
