@@ -15,6 +15,9 @@ from tessera.llm.queries import tokenizer
 
 #: A document is rejected below this score. The threshold keeps clean documents rather than drop all doubtful ones.
 LEAST_SCORE = 0.5
+#: Near-duplicates here have a similarity of 0.8 or more (op3_minhash alone has 0.85); a pair at 0.8 misses all bands with
+#: probability 2e-6.
+NEAR = minhash.Params(percent=80, bands=56, rows=7)
 #: None of the classifier, the packing and MinHash can be said in SQL; tests/llm hold the stages against brute force.
 ORACLE_SQL = None
 
@@ -36,7 +39,7 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, minhash.near_duplicates(docs).where(~F.col("kept")))
+    return _without(docs, minhash.near_duplicates(docs, NEAR).where(~F.col("kept")))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -52,3 +52,14 @@ def test_pipeline_of_odd_rows(spark):
     left = corpus_pipeline.dedup(spark, docs, DIR).collect()
     assert sorted(r.doc_id or 0 for r in left) == [0, 1, 3, 4, 5, 6]
     assert sorted(r.doc_id or 0 for r in corpus_pipeline.rules(spark, docs, DIR).collect()) == [0, 1, 2, 2]
+
+
+def test_pipeline_links_from_80_percent(spark):
+    words = [f"w{k}" for k in range(204)]
+    rows = [(1, words), (2, words[:50] + ["x"] + words[51:100] + ["y"] + words[101:150] + ["z"] + words[151:] + ["end"] * 6), (3, [f"v{k}" for k in range(204)]), (4, [f"v{k}" for k in range(0, 160)])]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for _, w in rows]
+    near, far = (len(a & b) / len(a | b) for a, b in (sets[:2], sets[2:]))
+    assert 0.8 <= near < 0.85 and far < 0.8
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in rows], "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.dedup(spark, docs, DIR).collect()) == [1, 3, 4]
+    assert minhash.near_duplicates(docs).where("not kept").count() == 0
