@@ -1,4 +1,4 @@
-"""License scans: patience alignment of whole texts with license notices."""
+"""License scans: patience alignment of whole texts with license notices, longest common subsequences where it falls short."""
 
 from __future__ import annotations
 
@@ -75,27 +75,78 @@ def align(template: list[str], text: list[str]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def best_alignment(template: list[str], text: list[str]) -> tuple[float, int, int]:
-    """Coverage of the template, and the first and last matched word + 1, over stretches of the whole text.
+def common(a: list[str], b: list[str]) -> int:
+    """The length of the longest common subsequence, in bits of one number."""
+    at: dict[str, int] = {}
+    for k, w in enumerate(a):
+        at[w] = at.get(w, 0) | 1 << k
+    every = (1 << len(a)) - 1
+    v = every
+    for w in b:
+        if m := at.get(w):
+            u = v & m
+            v = ((v + u) | (v - u)) & every
+    return len(a) - v.bit_count()
+
+
+def longest(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """The pairs of a longest common subsequence, by its table."""
+    n = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(len(a) - 1, -1, -1):
+        for j in range(len(b) - 1, -1, -1):
+            n[i][j] = n[i + 1][j + 1] + 1 if a[i] == b[j] else max(n[i + 1][j], n[i][j + 1])
+    out, i, j = [], 0, 0
+    while i < len(a) and j < len(b):
+        if a[i] == b[j]:
+            out.append((i, j))
+            i, j = i + 1, j + 1
+        elif n[i + 1][j] >= n[i][j + 1]:
+            i += 1
+        else:
+            j += 1
+    return out
+
+
+def best_alignment(template: list[str], text: list[str], coverage: float = COVERAGE, places: dict[str, list[int]] | None = None) -> tuple[float, int, int]:
+    """Coverage of the template, and the first and last matched word + 1, over stretches of the whole text; 0 below `coverage`.
 
-    A stretch begins before each place of the template's rarest word of the text, so that a notice that comes twice still
-    has unique words. Only matches within twice the template's length count.
+    A notice that reaches `coverage` lacks at most `spare` of the template's words, so it holds one of any spare + 1 of
+    them: a stretch of twice the template's length lies round each place of the spare + 1 that the text has least often.
+    In a stretch, patience may fall short where words repeat; then a longest common subsequence is taken.
     """
     n = len(template)
-    times = Counter(w for w in text if w in set(template))
-    if not times:
-        return 0.0, 0, 0
-    rare = min(times, key=lambda w: (times[w], template.index(w)))
-    before = template.index(rare)
-    best = (0.0, 0, 0)
-    for k in (k for k, w in enumerate(text) if w == rare):
-        low = max(0, k - 2 * before - 2)
-        matched = align(template, text[low : k + 2 * (n - before) + 2])
-        if matched:
+    if places is None:
+        places = places_of(set(template), text)
+    least = next(m for m in range(n + 1) if m / n >= coverage)
+    spare = n - least
+    seeds = sorted(range(n), key=lambda i: (len(places.get(template[i], ())), i))[: spare + 1]
+    known, best, done = set(template), (0.0, 0, 0), set()
+    for i in seeds:
+        for k in places.get(template[i], ()):
+            low, high = max(0, k - 2 * i - 2), k + 2 * (n - i) + 2
+            if (low, high) in done:
+                continue
+            done.add((low, high))
+            stretch = text[low:high]
+            there = known.intersection(stretch)
+            if sum(w in there for w in template) < least or (size := common(template, stretch)) < max(least, 1) or size < best[0] * n:
+                continue
+            matched = align(template, stretch)
+            if len(matched) < size:
+                matched = longest(template, stretch)
             best = max(best, (len(matched) / n, -(low + matched[0][1]), low + matched[-1][1] + 1))
     return best[0], -best[1], best[2]
 
 
+def places_of(wanted: set[str], text: list[str]) -> dict[str, list[int]]:
+    """Where each wanted word stands in the text."""
+    out: dict[str, list[int]] = {}
+    for k, w in enumerate(text):
+        if w in wanted:
+            out.setdefault(w, []).append(k)
+    return out
+
+
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, license, coverage, start_word, end_word, found: one row per row of docs, whole texts, no shuffle.
 
@@ -105,16 +156,17 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, cove
     gives no rows; other columns are ignored.
     """
     wanted = {name: words(t) for name, t in (TEMPLATES if templates is None else templates).items() if words(t)}
+    vocabulary = set().union(*wanted.values())
 
     def scan(text: str | None) -> tuple:
         if not text:
             return None, 0.0, None, None, []
         w = words(text)
-        there = set(w)
+        there = places_of(vocabulary, w)
         hits = []
         for name, t in wanted.items():
             if sum(x in there for x in t) >= coverage * len(t):
-                c, a, b = best_alignment(t, w)
+                c, a, b = best_alignment(t, w, coverage, there)
                 if c >= coverage:
                     hits.append((-c, -len(t), name, a, b))
         if not hits:

@@ -2,6 +2,7 @@
 
 import hashlib
 import html
+import itertools
 import re
 import zlib
 from collections import Counter
@@ -282,6 +283,32 @@ def test_licenses_are_found(spark):
     assert found.count() == bare.where(F.col("text").rlike(lines.replace(".", "[.]"))).count()
 
 
+def test_edited_notices_beside_stray_words():
+    t = license_scan.words(license_scan.TEMPLATES["GPL-3.0"])
+    far = ["far"] * 300
+    notice = license_scan.words("This software is licensed under the GNU General Public License, version 3.")
+    text = "this work this".split() + far + notice + far
+    assert license_scan.best_alignment(t, text) == ((len(t) - 1) / len(t), 303, 303 + len(notice))
+    r = np.random.default_rng(1)
+    for _ in range(300):  # every notice that lacks no more than it may, beside stray words and other copies of them
+        t = list("abcdefghijklmnopqrst"[: r.integers(5, 21)]) if r.random() < 0.5 else [str(x) for x in r.integers(0, 6, r.integers(5, 21))]
+        least = next(m for m in range(len(t) + 1) if m / len(t) >= 0.85)
+        kept = sorted(r.choice(len(t), least, replace=False))
+        stray = [t[k] for k in r.integers(0, len(t), r.integers(0, 6))]
+        c, a, b = license_scan.best_alignment(t, stray + far + [t[k] for k in kept] + far + stray)
+        assert c >= 0.85 and 0 <= a < b
+    for _ in range(200):
+        x, y = ([str(k) for k in r.integers(0, 4, r.integers(0, 9))] for _ in range(2))
+        pairs = license_scan.longest(x, y)
+        assert license_scan.common(x, y) == len(pairs) == max((k for k in range(9) for s in itertools.combinations(x, k) if in_order(s, y)), default=0)
+        assert all(x[i] == y[j] for i, j in pairs) and all(a < c and b < d for (a, b), (c, d) in zip(pairs, pairs[1:]))
+
+
+def in_order(s, y):
+    rest = iter(y)
+    return all(w in rest for w in s)
+
+
 # --- quality rules -------------------------------------------------------------------------------------------------
 
 
