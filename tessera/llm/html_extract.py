@@ -56,7 +56,11 @@ class Node:
     depth: int
     no: bool = False  # here or above
     yes: bool = False
-    own_no: bool = False
+    named_no: bool = False  # the own class or id is a sign
+    named_yes: bool = False
+    other_no: bool = False  # the own tag, role or style is one
+    other_yes: bool = False
+    size: int = 0  # characters of text here and below
 
 
 @dataclass
@@ -67,26 +71,76 @@ class Block:
     text: str = ""
 
 
-def _signs(tag: str, attributes: str) -> tuple[bool, bool]:
+def _signs(tag: str, attributes: str) -> tuple[bool, bool, bool, bool]:
+    """Signs of class and id (not the article, the article), and of tag, role and style likewise."""
+    named_no = named_yes = False
     no, yes = tag in NOT_TAGS, tag in YES_TAGS
     if attributes and "=" in attributes or "hidden" in attributes:
         for name, *values in ATTRIBUTE.findall(attributes):
             name, value = name.lower(), html.unescape(max(values, key=len))
             if name in ("class", "id"):
-                words = {w.lower() for w in WORDS.findall(value)}
-                no |= bool(words & NOT_WORDS)
-                yes |= bool(words & YES_WORDS)
+                if tag not in ("html", "body"):  # those tell of the page, not of a part
+                    words = {w.lower() for w in WORDS.findall(value)}
+                    named_no |= bool(words & NOT_WORDS)
+                    named_yes |= bool(words & YES_WORDS)
             elif name == "role":
                 no |= value.lower() in NOT_ROLES
                 yes |= value.lower() in ("main", "article")
             elif name == "hidden" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value.lower()):
                 no = True
-    return no, yes
+    return named_no, named_yes, no, yes
+
+
+def _inherit(nodes: list[Node], found: list[Block]) -> None:
+    """Set no and yes of all nodes (parents first) by their own signs and those above.
+
+    A class or id doesn't mark what is page-wide: what holds main or the page's largest article (if that has a quarter of
+    the text), or more than half of the text while no marked article and less than a fifth as much unmarked text stands
+    outside.
+    """
+    for b in found:
+        n, size = b.node, len(b.text)
+        while n is not None:
+            n.size += size
+            n = n.parent
+    total = sum(len(b.text) for b in found)
+    articles = [n for n in nodes if n.other_yes and not n.named_no and not n.other_no and n.size]
+    wide = {id(n) for n in articles if n.tag == "main"}
+    if articles and 4 * (largest := max(articles, key=lambda n: n.size)).size >= total:
+        wide.add(id(largest))
+    holds = set()  # nodes above those
+    for n in articles:
+        if id(n) in wide:
+            up = n.parent
+            while up is not None:
+                holds.add(id(up))
+                up = up.parent
+    for n in nodes:
+        if n.named_no and (id(n) in holds or 2 * n.size > total and _alone(n, found)):
+            n.named_no = False
+    for n in nodes:
+        n.no = n.parent.no or n.named_no or n.other_no
+        n.yes = n.parent.yes or n.named_yes or n.other_yes
+
+
+def _alone(wide: Node, found: list[Block]) -> bool:
+    """Whether what stands outside is marked as no article or is little."""
+    size = 0
+    for b in found:
+        n, no, yes = b.node, False, False
+        while n is not None and n is not wide:
+            no, yes = no or n.named_no or n.other_no, yes or n.named_yes or n.other_yes
+            n = n.parent
+        if n is None and not no:
+            if yes:
+                return False
+            size += len(b.text)
+    return 5 * size < wide.size
 
 
 def blocks(page: str) -> list[Block]:
     """The page's text blocks in order, with decoded and joined text; raw elements, comments and markup are left out."""
-    root = Node("", None, 0)
+    root, nodes = Node("", None, 0), []
     node, found, now, at, links = root, [], None, 0, 0
 
     def add(raw: str) -> None:
@@ -161,8 +215,8 @@ def blocks(page: str) -> list[Block]:
             close(n)
         if tag in SIBLINGS and (n := opened(SIBLINGS[tag], CONTAINERS[tag])):
             close(n)
-        no, yes = _signs(tag, m[3] or "")
-        node = Node(tag, node, node.depth + 1, node.no or no, node.yes or yes, no)
+        node = Node(tag, node, node.depth + 1, False, False, *_signs(tag, m[3] or ""))
+        nodes.append(node)
         if tag == "a":
             links += 1
         if tag not in INLINE:
@@ -174,7 +228,21 @@ def blocks(page: str) -> list[Block]:
             close(node)
     for b in found:
         b.text = SPACE.sub(" ", "".join(b.parts)).strip()
-    return [b for b in found if b.text]
+    found = [b for b in found if b.text]
+    _inherit(nodes, found)
+    return found
+
+
+def marks_article(found: list[Block]) -> bool:
+    """Whether the page marks its article: by article, main or a role, or by classes that hold most of the unmarked text."""
+    rest = [b for b in found if not b.node.no]
+    for b in rest:
+        n = b.node
+        while n is not None:
+            if n.other_yes:
+                return True
+            n = n.parent
+    return 2 * sum(len(b.text) for b in rest if b.node.yes) > sum(len(b.text) for b in rest)
 
 
 FEATURES = 6
@@ -194,6 +262,8 @@ LABELLED = (
     "<body><p><a href=x>Drop home</a> <a href=y>Drop news</a></p><h1>Keep head</h1><p>{long}</p><p>{long}</p><div class=share><a>Drop it</a></div><p>{long}</p><div class='cookie-notice'>Drop we use cookies {other}</div><footer><p>Drop rights {other}</p></footer></body>",
     "<body><article><p>{long}</p><div class='ad banner'>Drop buy {other}</div><p>{long}</p><p>Keep a few words.</p><section id=comments><p>Drop nice {other}</p></section></article><div>Drop outside</div><p>Drop {other}</p></body>",
     "<body><div><p>{long}</p><p>Keep one line.</p></div><div><a>Drop</a></div><table><tr><td>Keep cell</td><td>Keep cell two</td></tr></table><p>{long}</p></body>",
+    "<body class='single has-sidebar'><div class='header-fixed'><nav><a>Drop</a></nav><article><h1>Keep it</h1><p>{long}</p><p>Keep short.</p></article><div class=sidebar><p>Drop {other}</p></div></div></body>",
+    "<body class=body><div id=nav-open><h1 class=text-center>Keep head</h1><p>{long}</p><p>{long}</p><div class=share><a>Drop it</a></div></div><footer>Drop rights {other}</footer></body>",
 )
 
 
@@ -202,7 +272,7 @@ def weights() -> np.ndarray:
     x, y = [], []
     for page in LABELLED:
         found = blocks(page.format(long="Keep " + "some words of an article, " * 12, other="other words of the page " * 4))
-        inside = any(b.node.yes for b in found)
+        inside = marks_article(found)
         x += [features(b, inside) for b in found]
         y += [b.text.startswith("Keep") for b in found]
     z, y, w = np.c_[np.array(x), np.ones(len(x))], np.array(y, dtype=float), np.zeros(FEATURES + 1)
@@ -255,7 +325,7 @@ def extract(page: str | None, w: np.ndarray, smooth: float = 0.8) -> str:
     found = blocks(page or "")
     if not found:
         return ""
-    inside = any(b.node.yes for b in found)
+    inside = marks_article(found)
     gain = (np.array([features(b, inside) for b in found]) @ w[:-1] + w[-1]).tolist()
     edges, last = [], {}
     for k, b in enumerate(found):

@@ -217,6 +217,21 @@ def test_extract(page, text):
     assert html_extract.extract(page, html_extract.weights()) == text
 
 
+@pytest.mark.parametrize("sign", ["class='single has-sidebar'", "class=nav-open", "id=comment-open", "class='header-fixed x'", "class=text-center", "class=body", ""])
+@pytest.mark.parametrize("page", ["<body {}>{}</body>", "<html {}><body>{}</body></html>", "<body><div {}>{}</div></body>", "<body><div class=menu-open><div {}>{}</div></div></body>"])
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_page_wide_signs_mark_nothing(sign, page, tag):
+    texts = ["The words of a paragraph, one after another, and some more of them. " * 4, "Other words of it, which go on for a line or two and then end. " * 4]
+    inner = "<nav><a href=x>Home</a></nav><{0}><h2 class=text-center>Its title</h2><p>{1}</p><p>{2}</p></{0}><div class=sidebar><p>Look at this too</p></div><footer>All of it, 2020</footer>".format(tag, *texts)
+    assert html_extract.extract(page.format(sign, inner), html_extract.weights()) == "\n".join(["Its title", *map(str.strip, texts)])
+
+
+def test_marked_parts_stay_marked():
+    long = "I like it very much indeed and so do many others here. " * 12
+    page = "<body><div class=post><p>A post of a few words, and then some more of them to read.</p></div><div id=comments><p>{0}</p><p>{0}</p></div></body>".format(long)
+    assert html_extract.extract(page, html_extract.weights()) == "A post of a few words, and then some more of them to read."
+
+
 def test_pages_keep_odd_rows(spark):
     rows = spark.createDataFrame([(None, None, None, "x"), (1, "u", "", "x"), (1, "u", "", "x"), (2, None, "<p>" + "word " * 60_000, "x")], "page_id long, url string, html string, text string")
     got = html_extract.extract_pages(rows).collect()
