@@ -18,7 +18,7 @@ LEAST_SCORE = 0.5
 #: Near-duplicates here have a similarity of 0.8 or more (op3_minhash alone has 0.85); a pair at 0.8 misses all bands with
 #: probability 2e-6.
 NEAR = minhash.Params(percent=80, bands=56, rows=7)
-#: None of the classifier, the packing and MinHash can be said in SQL; tests/llm hold the stages against brute force.
+#: None of the classifier, the packing and MinHash can be said in SQL; tests/llm hold the operators against brute force.
 ORACLE_SQL = None
 
 
