@@ -98,7 +98,7 @@ def nearest(cells: DataFrame, columns: list[str], k: int, block: int = 2000) ->
 
     Exact: cells are dealt into blocks by hash and each pair of blocks is compared by one task with numpy, which gives
     each cell's k best of that block; the best of these are kept. Work is the square of the cells, memory is one pair of
-    blocks. For more cells than that allows see cluster.approximate_nearest.
+    blocks.
     """
     n = max(1, math.ceil(cells.count() / block))
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
