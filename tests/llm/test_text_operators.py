@@ -4,6 +4,7 @@ import hashlib
 import html
 import itertools
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -183,13 +184,13 @@ def flow_by_brute_force(gain, edges):
 
 def test_min_cut_is_least():
     r = np.random.default_rng(2)
-    for _ in range(60):
-        n = int(r.integers(1, 8))
+    for _ in range(300):
+        n = int(r.integers(1, 10))
         gain = [float(x) for x in r.normal(0, 2, n)]
         edges = [(int(a), int(b), float(c)) for a, b, c in zip(r.integers(0, n, n), r.integers(0, n, n), r.random(n)) if a != b]
         least, cost = flow_by_brute_force(gain, edges)
         side = sum(1 << k for k, x in enumerate(html_extract.min_cut(gain, edges)) if x)
-        assert abs(cost(side) - least) < 1e-6
+        assert abs(cost(side) - least) < 1e-4
 
 
 def test_pages_give_their_articles(spark):
@@ -214,7 +215,7 @@ def test_pages_give_their_articles(spark):
     ],
 )
 def test_extract(page, text):
-    assert html_extract.extract(page, html_extract.weights()) == text
+    assert html_extract.extract(page) == text
 
 
 @pytest.mark.parametrize("sign", ["class='single has-sidebar'", "class=nav-open", "id=comment-open", "class='header-fixed x'", "class=text-center", "class=body", ""])
@@ -223,13 +224,59 @@ def test_extract(page, text):
 def test_page_wide_signs_mark_nothing(sign, page, tag):
     texts = ["The words of a paragraph, one after another, and some more of them. " * 4, "Other words of it, which go on for a line or two and then end. " * 4]
     inner = "<nav><a href=x>Home</a></nav><{0}><h2 class=text-center>Its title</h2><p>{1}</p><p>{2}</p></{0}><div class=sidebar><p>Look at this too</p></div><footer>All of it, 2020</footer>".format(tag, *texts)
-    assert html_extract.extract(page.format(sign, inner), html_extract.weights()) == "\n".join(["Its title", *map(str.strip, texts)])
+    assert html_extract.extract(page.format(sign, inner)) == "\n".join(["Its title", *map(str.strip, texts)])
 
 
 def test_marked_parts_stay_marked():
     long = "I like it very much indeed and so do many others here. " * 12
     page = "<body><div class=post><p>A post of a few words, and then some more of them to read.</p></div><div id=comments><p>{0}</p><p>{0}</p></div></body>".format(long)
-    assert html_extract.extract(page, html_extract.weights()) == "A post of a few words, and then some more of them to read."
+    assert html_extract.extract(page) == "A post of a few words, and then some more of them to read."
+
+
+LONG = "The words of a paragraph go on, one after another, until it ends. " * 5
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ("<body class='single no-sidebar'><article><h1>Its title</h1><p>{0}</p></article></body>", "Its title\n{0}"),
+        ("<body class='comments-open'><div class=x1><h1>Its title</h1><p>{0}</p><p>{0}</p></div></body>", "Its title\n{0}\n{0}"),
+        ("<body><form action=x><div class=c1><h1>Its title</h1><p>{0}</p><p>{0}</p></div></form></body>", "Its title\n{0}\n{0}"),
+        ("<article><p>{0}</p><p>So <math><mi>a</mi><mo>=</mo><mn>2</mn></math> holds, as was shown.</p><p>{0}</p></article>", "{0}\nSo a=2 holds, as was shown.\n{0}"),
+        ("<body><div class=c0><a href=/>Home</a> <a href=/b>About us</a></div><div class=c1><h1>Its title</h1><p>{0}</p><p>{0}</p></div><div class=c2><h3>3 comments</h3><div><b>Paul says:</b><p>Great post, thank you</p><a href=#>Reply</a></div></div><div class=c3><p>We use cookies to improve your experience on this site</p></div></body>", "Its title\n{0}\n{0}"),
+        ("<article><p>{0}</p><p>No.</p><p>{0}</p></article><footer>{0}</footer>", "{0}\nNo.\n{0}"),
+    ],
+)
+def test_pages_without_telling_names(page, text):
+    assert html_extract.extract(page.format(LONG)) == text.format(LONG.strip())
+
+
+def test_extraction_is_the_least_cost_labelling():
+    m, moved, pages = html_extract.trained(), 0, html_extract.labelled_pages(150, seed=7)
+    wrong = alone = blocks = 0
+    for page in pages:
+        found, nodes, want = html_extract._labelled(page)
+        gain = (html_extract.features(found, nodes, m.cues) @ m.weights).tolist()
+        edges = html_extract.smoothness(found, 0.8)
+        keep = html_extract.min_cut(gain, edges)
+        sign = [g > 0 for g in gain]
+        moved += keep != sign
+        wrong, alone, blocks = wrong + sum(a != b for a, b in zip(keep, want)), alone + sum(a != b for a, b in zip(sign, want)), blocks + len(want)
+        if len(found) <= 11:
+            least, cost = flow_by_brute_force(gain, edges)
+            assert abs(cost(sum(1 << k for k, x in enumerate(keep) if x)) - least) < 1e-4
+    assert moved >= 0.05 * len(pages) and wrong <= alone and wrong < 0.02 * blocks  # other pages than those trained on
+
+
+def test_long_pages_take_linear_time():
+    for part in ("<div class=c{0}>word word word.</div>", "<p><i>a b ", "<div><b><h1>a</h1></b><span>", "<ul><li><b>x</i></b><a href=y>z", "<p>{0}</p><td>"):
+        took = []
+        for n in (5_000, 50_000):
+            page = "".join(part.format(k % 7) for k in range(n))
+            began = time.process_time()
+            html_extract.extract(page)
+            took.append(time.process_time() - began)
+        assert took[1] < 20 * took[0] + 1 and took[1] < 15
 
 
 def test_pages_keep_odd_rows(spark):
