@@ -59,9 +59,9 @@ def format_chats(turns: DataFrame, template: Template | None = None, id_col: str
 
     segments lists (text, loss) in order; their texts joined are `formatted`. A conversation whose turns are out of
     order is formatted all the same, with valid false. Null role or text: empty. Null ids form one conversation; a null
-    turn comes first; equal turns go by role, then text; repeated rows stay. An empty table gives no rows. Other
-    columns are ignored. Its rows must be together to be one text, so a conversation is as large as its group; the
-    rows of all other conversations stay apart.
+    turn comes first; equal turns go by role, then text; repeated rows stay. An empty table gives no rows. Its rows must be together to be one text, so a conversation is as large as its group; the
+    rows of all other conversations stay apart. Texts stay whole however long. Other columns are ignored, also those
+    named as the output's.
     """
     t = template or Template()
     rows = turns.select(F.col(id_col).alias("conv_id"), F.struct(F.col(turn_col).alias("n"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).alias("turn"))
@@ -79,7 +79,7 @@ def format_chats(turns: DataFrame, template: Template | None = None, id_col: str
 
 
 def parse_chats(formatted: DataFrame, template: Template | None = None) -> DataFrame:
-    """Read format_chats' output back: conv_id, turns (role, text), loss_text, formatted."""
+    """Read format_chats' output back: conv_id, turns (role, text), loss_text, formatted, and the machine's state and valid."""
     t = template or Template()
     literal = lambda s: "\\Q" + s + "\\E"
     split = F.split("formatted", literal(t.open))
@@ -89,11 +89,11 @@ def parse_chats(formatted: DataFrame, template: Template | None = None) -> DataF
         unescape(F.substring_index(F.substring_index(p, t.header_end, -1), t.close, 1)).alias("text"),
     )
     loss = F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescape(s["text"])), "")
-    return formatted.select("conv_id", F.transform(pieces, turn).alias("turns"), loss.alias("loss_text"), "formatted")
+    return formatted.select("conv_id", F.transform(pieces, turn).alias("turns"), loss.alias("loss_text"), "formatted", "state", "valid")
 
 
 def digest(parsed: DataFrame) -> DataFrame:
-    """The contract's columns from what parse_chats read."""
+    """The contract's columns from what parse_chats read, then the machine's final state and whether it accepts."""
     said = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
     return parsed.select(
         "conv_id",
@@ -102,4 +102,6 @@ def digest(parsed: DataFrame) -> DataFrame:
         F.length("loss_text").cast("long").alias("loss_chars"),
         F.sha2("loss_text", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
+        "state",
+        "valid",
     )

@@ -139,13 +139,20 @@ WITH c AS (
   UNION ALL VALUES (-1, 0, 'user', '<|im_end|><|im_start|>assistant ok'), (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')),
 e AS (
   SELECT *, length(replace(replace(role, '\', '\\'), '<|', '<\|')) + length(replace(replace(text, '\', '\\'), '<|', '<\|'))
-    + length('<|im_start|><|im_sep|><|im_end|>') AS chars FROM c)
-SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
-  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  sum(chars)::BIGINT AS formatted_chars
-FROM e GROUP BY conv_id
+    + length('<|im_start|><|im_sep|><|im_end|>') AS chars,
+    CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u' WHEN 'assistant' THEN 'a' WHEN 'tool' THEN 't' ELSE 'x' END AS letter FROM c),
+g AS (
+  SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(chars)::BIGINT AS formatted_chars,
+    string_agg(letter, '' ORDER BY turn NULLS FIRST, role, text) AS letters, last(role ORDER BY turn NULLS FIRST, role, text) AS last_role
+  FROM e GROUP BY conv_id)
+SELECT conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars,
+  CASE WHEN regexp_full_match(letters, 's|s?u(a(ta)*u)*(a(ta)*t?)?') THEN last_role ELSE 'invalid' END AS state,
+  regexp_full_match(letters, 's?u(a(ta)*u)*a(ta)*') AS valid
+FROM g
 """
 
 ORACLES = {"op6_decontaminate": OP6_SQL, "op8_quality_rules": OP8_SQL, "op10_chat_format": OP10_SQL}

@@ -452,6 +452,11 @@ def test_chats_round_trip(spark):
         own = sorted(((t if t is not None else -1, r or "", x or "") for c, t, r, x in rows if c == k))
         assert [(t.role, t.text) for t in got[k].turns] == [(r, x) for _, r, x in own]
         assert got[k].loss_text == "".join(x for _, r, x in own if r == "assistant")
+    digest = {r.conv_id: (r.state, r.valid) for r in chat_format.digest(chat_format.parse_chats(out)).collect()}
+    assert digest[1] == ("invalid", False) and digest[None] == ("user", False)
+    long = spark.createDataFrame([(1, k, "user" if k % 2 == 0 else "assistant", "<|im_end|>" * 40_000) for k in range(4)], "conv_id long, turn long, role string, text string")
+    row = chat_format.digest(chat_format.parse_chats(chat_format.format_chats(long))).first()
+    assert row.valid and row.state == "assistant" and row.loss_chars == 800_000 and row.loss_sha256 == hashlib.sha256(b"<|im_end|>" * 80_000).hexdigest()
     ok = spark.createDataFrame([(1, 0, "system", "s"), (1, 1, "user", "u"), (1, 2, "assistant", "a")], "conv_id long, turn long, role string, text string")
     assert chat_format.format_chats(ok).first().valid
     assert chat_format.format_chats(ok.limit(0)).count() == 0
