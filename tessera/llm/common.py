@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -24,12 +25,18 @@ def lower_az(c: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Only where the session names none (as in tests) a local one is made."""
+    """The folder that driver and executors share, of spark.checkpoint.dir.
+
+    Only where the session names none and runs in one process (local mode, as in tests) a temporary one is made; on a
+    cluster that is an error, since no other machine could read it.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         made = spark.sparkContext._jsc.sc().getCheckpointDir()
         if made.isDefined():
             return made.get()
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="tessera-")
         spark.sparkContext.setCheckpointDir(found)
     return found
@@ -40,7 +47,17 @@ def written(df: DataFrame, what: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def forget(*dfs: DataFrame) -> None:
+    """Delete the files of tables from written() that nothing reads any more."""
+    for df in dfs:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(spark._jsc.sc().hadoopConfiguration()).delete(path, True)
 
 
 BITMAP_WORDS = 1 << 14

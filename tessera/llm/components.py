@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import forget, written
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -30,8 +30,8 @@ def small_star(edges: DataFrame) -> DataFrame:
 def connected_components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     """node, component (its least node) for every node of edges (u, v), long.
 
-    Each round is written to the shared folder, and only a count and a sum of hashes come to the driver. Loops are
-    ignored; an empty table gives no rows. Rounds grow with the logarithm of the longest path.
+    Each round is written to the shared folder (and the one before deleted), and only a count and a sum of hashes come to
+    the driver. Loops are ignored; an empty table gives no rows. Rounds grow with the logarithm of the longest path.
     """
     now = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     state = lambda e: tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1_000_003), F.sum(F.xxhash64("v", "u") % 998_244_353)).first())
@@ -39,7 +39,8 @@ def connected_components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     for _ in range(most_rounds):
         if not before[0]:
             break
-        now = written(small_star(large_star(now)), "edges")
+        last, now = now, written(small_star(large_star(now)), "edges")
+        forget(last)
         after = state(now)
         if after == before:
             break

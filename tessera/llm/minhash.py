@@ -1,7 +1,8 @@
 """Near-duplicates: MinHash with banding, signature and exact verification, and connected components.
 
-Copies with one shingle set are one node. A bucket's members are first linked to one of them (a star), then only pairs
-of different components are compared, in blocks; so a large group of near copies doesn't become all its pairs.
+Texts with one shingle set are one node, whatever their ids. A bucket's members are first compared with one of them (a
+star), again with others while large buckets of several components are left, and then only pairs of different components
+are compared, in blocks; so a large group of near copies doesn't become all its pairs, and no bucket is one task's.
 """
 
 from __future__ import annotations
@@ -15,9 +16,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import LOWER, UPPER, bitmap, maybe, written
+from .common import LOWER, UPPER, bitmap, forget, maybe, written
 from .components import connected_components
 
 LOWER_BYTES = bytes.maketrans(UPPER.encode(), LOWER.encode())
@@ -38,6 +38,9 @@ class Params:
     rows: int = 8
     slack: float = 4.5
     block: int = 512
+    #: Stars are repeated, this often at most, while the buckets of several components have more members than `large` on average.
+    stars: int = 4
+    large: int = 200
     seed: int = 7
 
     def __post_init__(self):
@@ -106,8 +109,8 @@ class Minima:
         return (mixed >> np.uint64(56)).astype(np.uint8).tobytes(), key.view(np.int64)
 
 
-def signatures(docs: DataFrame, p: Params) -> DataFrame:
-    """doc_id, n_shingles, set_id (a digest of the set), sig, bands: one row per row of docs."""
+def signatures(docs: DataFrame, p: Params, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, keep, row (a hash of id and text), n_shingles, set_id (a digest of the set), sig, bands: one row per row of docs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, minima, seen = Shingler(p.shingle), Minima(p), {}
@@ -115,7 +118,7 @@ def signatures(docs: DataFrame, p: Params) -> DataFrame:
             for at in range(0, batch.num_rows, 2000):
                 b = batch.slice(at, 2000)
                 n, sets, sigs, keys = [], [], [], []
-                for t in b.column(1):
+                for t in b.column(0):
                     h = shingles(t.as_py() or "")
                     n.append(len(h))
                     sets.append(d := hashlib.blake2b(h.tobytes(), digest_size=16).digest())
@@ -126,27 +129,32 @@ def signatures(docs: DataFrame, p: Params) -> DataFrame:
                     sig, key = seen[d] if len(h) else (b"", [])
                     sigs.append(sig)
                     keys.append(key)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(sets, pa.binary()), pa.array(sigs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "set_id", "sig", "bands"])
+                made = [pa.array(n, pa.int64()), pa.array(sets, pa.binary()), pa.array(sigs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*b.columns[1:], *made], names=[*b.schema.names[1:], "n_shingles", "set_id", "sig", "bands"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, set_id binary, sig binary, bands array<long>")
+    rows = docs.select("text", "doc_id", *keep, F.xxhash64("doc_id", "text").alias("row"))
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
+    return rows.mapInArrow(run, kept + ", n_shingles long, set_id binary, sig binary, bands array<long>")
 
 
 def _buckets(nodes: DataFrame) -> DataFrame:
-    """key, node, c: the members of every bucket of two or more, and its size."""
-    rows = nodes.select("node", F.explode("bands").alias("key"))
-    return rows.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("c > 1")
+    """key, node, met: the members of every bucket of two or more, and how many others a member meets over all its buckets.
 
+    Sizes are summed in parts first; a table of them is joined back, so that a hot bucket's rows are dealt to many tasks.
+    """
+    rows = nodes.select("node", F.explode("bands").alias("key"))
+    sizes = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "sizes")
+    shared = rows.where(maybe(bitmap(sizes, "key"), F.col("key"))).join(sizes, "key")
+    met = written(shared.groupBy("node").agg(F.sum("c").alias("met")), "met")
+    out = written(shared.join(met, "node").select("key", "node", "met"), "buckets")
+    forget(sizes, met)
+    return out
 
-def _stars(buckets: DataFrame) -> DataFrame:
-    """Pairs (a, b): each bucket's pivot with each other member.
 
-    The pivot is the member that the most others meet over all its buckets: in a group of edited copies that is the text
-    nearest to all of them.
-    """
-    met = buckets.groupBy("node").agg(F.sum("c").alias("met"))
-    known = buckets.join(met, "node").select("key", "node", "met")
-    pivot = known.groupBy("key").agg(F.max(F.struct("met", (-F.col("node")).alias("less"))).alias("p")).select("key", (-F.col("p.less")).alias("pivot"))
-    return known.join(pivot, "key").where("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+def _stars(members: DataFrame, order: F.Column) -> DataFrame:
+    """Pairs (a, b): of each bucket of members (key, node, part) the pivot, which has the most of `order`, with the others' parts' members."""
+    pivot = written(members.groupBy("key").agg(F.max(F.struct(order.alias("o"), (-F.col("node")).alias("less"), "part")).alias("p")).select("key", (-F.col("p.less")).alias("pivot"), F.col("p.part").alias("own")), "pivots")
+    return members.join(pivot, "key").where("part <> own").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
 
 
 def _signed(pairs: DataFrame, nodes: DataFrame, p: Params) -> DataFrame:
@@ -166,7 +174,11 @@ def _signed(pairs: DataFrame, nodes: DataFrame, p: Params) -> DataFrame:
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, p: Params) -> DataFrame:
-    """node, set: the full sets of the given nodes. A bitmap of them drops most other texts before they are moved."""
+    """node, set: the full sets of the given nodes (node, row, set_id).
+
+    One row of docs has each node's text; a bitmap of their hashes drops most other texts before they are moved, copies
+    of one row are moved once, and a row of an equal hash is told apart by its set's digest.
+    """
     k = p.shingle
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,16 +186,20 @@ def _sets(docs: DataFrame, nodes: DataFrame, p: Params) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 b = batch.slice(at, 500)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(t.as_py() or "").tobytes() for t in b.column(1)], pa.binary())], names=["node", "set"])
+                sets = [shingles(t.as_py() or "").tobytes() for t in b.column(2)]
+                same = pa.array([hashlib.blake2b(x, digest_size=16).digest() == d.as_py() for x, d in zip(sets, b.column(1))], pa.bool_())
+                yield pa.RecordBatch.from_arrays([b.column(0).filter(same), pa.array(sets, pa.binary()).filter(same)], names=["node", "set"])
 
-    bits = bitmap(nodes.select(F.xxhash64("node").alias("h")), "h")
-    near = docs.where(maybe(bits, F.xxhash64("doc_id"))).select(F.col("doc_id").alias("node"), "text")
-    return near.join(nodes, "node", "left_semi").select("node", "text").mapInArrow(run, "node long, set binary")
+    bits = bitmap(nodes, "row")
+    near = docs.select(F.xxhash64("doc_id", "text").alias("row"), "text").where(maybe(bits, F.col("row"))).distinct()
+    return near.join(nodes, "row").select("node", "set_id", "text").mapInArrow(run, "node long, set binary")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
-    """The pairs whose full sets are similar enough, as edges (u, v)."""
-    sets = written(_sets(docs, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), p), "sets")
+def _linked(found: DataFrame, docs: DataFrame, nodes: DataFrame, p: Params) -> DataFrame:
+    """The pairs (a, b) whose sizes, signatures and then full sets are similar enough, as a table of edges (u, v)."""
+    pairs = written(_signed(found, nodes, p), "pairs")
+    named = nodes.select("node", "row", "set_id").join(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "node", "left_semi")
+    sets = written(_sets(docs, written(named, "named"), p), "sets")
     side = lambda x: sets.select(F.col("node").alias(x), F.col("set").alias(f"set_{x}"))
     percent = p.percent
 
@@ -197,20 +213,29 @@ def _linked(pairs: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(k).filter(pa.array(keep, pa.bool_())) for k in (0, 1)], names=["u", "v"])
 
     both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "set_a", "set_b")
-    return both.mapInArrow(run, "u long, v long")
+    out = written(both.mapInArrow(run, "u long, v long"), "links")
+    forget(pairs, sets)
+    return out
+
+
+def _split(buckets: DataFrame, parts: DataFrame) -> tuple[DataFrame, int, int]:
+    """key, node, met, part, c of the buckets that hold several components, the number of rows, and of ordered pairs in a bucket."""
+    known = written(buckets.join(parts, "node", "left").select("key", "node", "met", F.coalesce("component", "node").alias("part")), "known")
+    span = written(known.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count(F.lit(1)).alias("c")).where("low <> high").select("key", "c"), "span")
+    rows, pairs = span.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum(F.col("c") * F.col("c")), F.lit(0))).first()
+    out = written(known.join(span, "key"), "split")
+    forget(known, span)
+    return out, rows, pairs
 
 
-def _rest(buckets: DataFrame, nodes: DataFrame, parts: DataFrame, p: Params) -> DataFrame:
+def _rest(split: DataFrame, nodes: DataFrame, p: Params) -> DataFrame:
     """Pairs (a, b) of one bucket but of different components so far whose signatures allow a link.
 
-    Buckets within one component are done. The others are cut in blocks of p.block members, and each pair of blocks is
-    compared by itself; a pair is given in the first band that it shares.
+    Buckets are cut in blocks of about p.block members by hash, and each pair of blocks is compared by itself; a pair is
+    given in the first band that it shares.
     """
-    known = buckets.join(parts.select("node", "component"), "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"))
-    by_key = Window.partitionBy("key")
-    split = known.withColumns({"low": F.min("part").over(by_key), "high": F.max("part").over(by_key)}).where("low <> high")
-    split = split.withColumns({"at": F.row_number().over(by_key.orderBy("part", "node")) - 1, "n": F.count(F.lit(1)).over(by_key)})
-    block, last = F.floor(F.col("at") / p.block), F.floor((F.col("n") - 1) / p.block)
+    last = F.floor((F.col("c") - 1) / p.block)
+    block = F.pmod(F.xxhash64("node"), last + 1)
     dealt = split.select("key", "node", "part", block.alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("other"))
     dealt = dealt.select("node", "part", "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") <= F.col("other")).alias("first"))
     dealt = dealt.join(nodes.select("node", "sig", "bands", "n_shingles"), "node").select("node", "part", "n_shingles", "sig", "bands", "key", "i", "j", "first")
@@ -251,38 +276,48 @@ def _rest(buckets: DataFrame, nodes: DataFrame, parts: DataFrame, p: Params) ->
             found += compare(rows)
         yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
-    # a key and a pair of blocks have 2 * p.block rows at most
+    # a key and a pair of blocks have about 2 * p.block rows
     return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, params: Params | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per row of docs.
+def near_duplicates(docs: DataFrame, params: Params | None = None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept, group_id, and the columns `keep`: one row per row of docs.
 
     A text's set is its distinct shingles of words (runs without \\x20 and \\x09-\\x0D, A-Z lower-cased); a shorter text is
-    one shingle; an empty or null text has none and is linked with nothing. component_id is the least doc_id that links
-    reach, kept tells whether that is the document's own. A null doc_id can't be named: its row has a null component_id,
-    links nothing and is kept. Rows that repeat a doc_id are alike if their texts are; with other texts each row
-    belongs to the component of its own text. An empty table gives no rows; other columns are ignored.
+    one shingle; an empty or null text has none and is linked with nothing. A row's component is that of its own text,
+    whatever other rows have its id: component_id is the least doc_id of all rows that links reach, kept tells whether
+    that is the row's own. group_id tells texts with copies or links apart and is null for all others. A null doc_id
+    can't be named: its row takes part by its text, has a null component_id if no named row is reached, and is then
+    kept. Rows that repeat a doc_id and text are alike. Long texts stay whole. An empty table gives no rows; other
+    columns are ignored.
     """
     p = params or Params()
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    signed = written(signatures(docs, p), "signatures")
-    full = signed.where("doc_id is not null and n_shingles > 0")
-    least = full.groupBy("set_id").agg(F.min(F.struct("doc_id", "n_shingles", "sig", "bands")).alias("r"), F.count(F.lit(1)).alias("copies"))
-    nodes = written(least.select("set_id", "copies", F.col("r.doc_id").alias("node"), "r.n_shingles", "r.sig", "r.bands"), "nodes")
-    buckets = written(_buckets(nodes), "buckets")
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *keep)
+    signed = written(signatures(docs, p, keep), "signatures")
+    least = signed.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.min(F.struct("row", "n_shingles", "sig", "bands")).alias("r"))
+    nodes = written(least.select("set_id", "copies", "first_id", "r.*").withColumn("node", F.monotonically_increasing_id()), "nodes")
+    buckets = _buckets(nodes)
     met = buckets.select("node").distinct()
-    bits = bitmap(met.select(F.xxhash64("node").alias("h")), "h")
-    tied = written(nodes.where(maybe(bits, F.xxhash64("node"))).drop("set_id", "copies").join(met, "node", "left_semi"), "tied")
+    tied = written(nodes.where(maybe(bitmap(met.select(F.xxhash64("node").alias("h")), "h"), F.xxhash64("node"))).drop("copies", "first_id").join(met, "node", "left_semi"), "tied")
 
-    links = written(_linked(written(_signed(_stars(buckets), tied, p), "pairs"), docs, p), "links")
+    links = _linked(_stars(buckets.withColumn("part", F.col("node")), F.col("met")), docs, tied, p)
     parts = connected_components(links)
-    rest = written(_rest(buckets, tied, parts, p).distinct(), "pairs")
-    more = written(_linked(rest, docs, p), "links")
-    parts = connected_components(links.union(more))
-
-    copies = nodes.where("copies > 1").select("set_id", "node")
-    named = signed.select("doc_id", "n_shingles", "set_id").join(copies, "set_id", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("node", "doc_id")).otherwise(F.col("doc_id")).alias("node"))
-    named = named.withColumn("node", F.when(F.col("doc_id").isNotNull(), F.col("node")))
-    out = named.join(parts, "node", "left").select("doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    for k in range(p.stars + 1):
+        split, rows, pairs = _split(buckets, parts)
+        if not rows:
+            break
+        exact = pairs <= p.large * rows or k == p.stars
+        more = _linked(_rest(split, tied, p).distinct() if exact else _stars(split, F.xxhash64("node", F.lit(k))), docs, tied, p)
+        links, parts = links.union(more), connected_components(links.union(more))
+        forget(split)
+        if exact:
+            break
+    forget(buckets, tied)
+
+    names = parts.join(nodes.select("node", "first_id"), "node").groupBy("component").agg(F.min("first_id").alias("name"))
+    known = nodes.select("set_id", "node", "copies", "first_id").join(parts, "node", "left").where("copies > 1 or component is not null").join(names, "component", "left")
+    known = written(known.select("set_id", F.coalesce("component", "node").alias("group_id"), F.when(F.col("component").isNull(), F.col("first_id")).otherwise(F.col("name")).alias("name")), "named")
+    out = signed.select("doc_id", "n_shingles", "set_id", *keep).join(known, "set_id", "left")
+    own = F.when(F.col("group_id").isNull(), F.col("doc_id")).otherwise(F.col("name"))
+    out = out.select("doc_id", "n_shingles", own.alias("component_id"), "group_id", *keep)
+    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"), "group_id", *keep)
