@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
@@ -15,8 +16,8 @@ from .common import written
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-#: A host is rejected if the shrunk rate of one rule's failures is above this.
-HOST_RATE = 0.9
+#: Bounds of the shrunk failure rate above which a host is rejected; between them the hosts' prior decides.
+LEAST_RATE, MOST_RATE = 0.5, 0.9
 
 
 def counts(text: str | None) -> tuple[int, int, int, int, int]:
@@ -50,15 +51,16 @@ def repeated(words: list[str], k: int = 3) -> int:
     return int(hit.sum())
 
 
-def document_counts(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
+def document_counts(docs: DataFrame, id_col: str, text_col: str, host_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [counts(t.as_py()) for t in b.column(1)]
             cols = [pa.array([x[k] for x in found], pa.int64()) for k in range(5)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *cols], names=["doc_id", "host", *COUNTS])
+            yield pa.RecordBatch.from_arrays([b.column(0), *b.columns[2:], *cols], names=["doc_id", *b.schema.names[2:], *COUNTS])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(host_col).cast("string").alias("host"))
-    return rows.mapInArrow(run, "doc_id long, host string, " + ", ".join(f"{c} long" for c in COUNTS))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(host_col).cast("string").alias("host"), *keep)
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
+    return rows.mapInArrow(run, f"doc_id long, {kept}, " + ", ".join(f"{c} long" for c in COUNTS))
 
 
 def rule_failures() -> dict[str, F.Column]:
@@ -72,37 +74,42 @@ def rule_failures() -> dict[str, F.Column]:
     }
 
 
-def host_verdicts(failed: DataFrame, rules: list[str], host_rate: float = HOST_RATE) -> DataFrame:
-    """host, host_docs, the shrunk rate of each rule, host_rejected.
+def host_verdicts(failed: DataFrame, rules: list[str], least_rate: float = LEAST_RATE, most_rate: float = MOST_RATE) -> DataFrame:
+    """host, host_docs, worst_rate, host_rejected. rules: boolean columns of failed.
 
     For each rule the hosts' failure rates give a beta prior by moments: with their mean m and variance v its strength
     is m(1-m)/v - 1, between 1 and 1000, and 1000 where hosts don't differ. The shrunk rate is
-    (failures + strength * m) / (documents + strength). Null hosts are one host.
+    (failures + strength * m) / (documents + strength). A host is rejected if a rule's shrunk rate is above what the
+    prior lets expect, m and three of the prior's deviations, but never below least_rate and always above most_rate.
+    Null hosts are one host.
     """
-    by_host = failed.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"), *[F.sum(F.col(r).cast("long")).alias(f"{r}_fails") for r in rules])
-    rate = lambda r: F.col(f"{r}_fails") / F.col("host_docs")
-    prior = by_host.agg(*[f(rate(r)).alias(f"{r}_{k}") for r in rules for k, f in (("m", F.avg), ("v", F.var_pop))])
-    out = by_host
-    for r in rules:
-        m, v = prior.select(f"{r}_m").scalar(), prior.select(f"{r}_v").scalar()
-        strength = F.when(v > 1e-12, F.greatest(F.lit(1.0), F.least(F.lit(1000.0), m * (1 - m) / v - 1))).otherwise(F.lit(1000.0))
-        out = out.withColumn(f"{r}_rate", (F.col(f"{r}_fails") + strength * m) / (F.col("host_docs") + strength))
-    worst = F.greatest(*[F.col(f"{r}_rate") for r in rules])
-    return out.select("host", "host_docs", *[f"{r}_rate" for r in rules], (worst > host_rate).alias("host_rejected"))
-
-
-def apply_quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", host_rate: float = HOST_RATE) -> DataFrame:
-    """doc_id, COUNTS, base_failed, kept, and the host's figures; one row per row of docs.
+    by_host = failed.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"), *[F.sum(F.col(r).cast("long")).alias(r) for r in rules])
+    each = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("fails")) for r in rules])).alias("r")
+    rates = written(by_host.select("host", "host_docs", each).select("host", "host_docs", "r.*"), "rates")
+    rate = F.col("fails") / F.col("host_docs")
+    prior = rates.groupBy("rule").agg(F.avg(rate).alias("m"), F.var_pop(rate).alias("v"))
+    strength = F.when(F.col("v") > 1e-12, F.greatest(F.lit(1.0), F.least(F.lit(1000.0), F.col("m") * (1 - F.col("m")) / F.col("v") - 1))).otherwise(F.lit(1000.0))
+    prior = prior.select("rule", "m", strength.alias("z"))
+    expected = F.col("m") + 3 * F.sqrt(F.col("m") * (1 - F.col("m")) / (F.col("z") + 1))
+    limit = F.least(F.lit(most_rate), F.greatest(F.lit(least_rate), expected))
+    shrunk = (F.col("fails") + F.col("z") * F.col("m")) / (F.col("host_docs") + F.col("z"))
+    judged = rates.join(F.broadcast(prior), "rule")  # a row per rule
+    return judged.groupBy("host").agg(F.max("host_docs").alias("host_docs"), F.max(shrunk).alias("worst_rate"), F.max(shrunk > limit).alias("host_rejected"))
+
+
+def apply_quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, COUNTS, base_failed, kept, the host's figures, and the columns `keep`; one row per row of docs.
 
     The counts are made once, written to the shared folder, summed by host (partial sums first, so a hot host costs no
     more), and the hosts' verdicts are joined back. kept is false if the document's own rules fail or its host is
-    rejected. Null or empty text: no words, so base_failed. Null hosts form one host. Null ids and repeated rows stay.
-    An empty table gives no rows. Other columns are ignored.
+    rejected, by one rule or by documents that fail any. Null or empty text: no words, so base_failed. Null hosts form
+    one host. Null ids and repeated rows stay, each judged by its own text. An empty table gives no rows. Other columns
+    are ignored.
     """
     rules = rule_failures()
-    failed = written(document_counts(docs, id_col, text_col, host_col), "counts").select("*", *[c.alias(r) for r, c in rules.items()])
-    hosts = host_verdicts(failed, list(rules), host_rate)
+    counted = written(document_counts(docs, id_col, text_col, host_col, keep), "counts").select("*", *[c.alias(r) for r, c in rules.items()])
+    failed = counted.withColumn("any", functools.reduce(lambda a, b: a | b, [F.col(r) for r in rules]))
+    hosts = host_verdicts(failed, [*rules, "any"])
     joined = failed.alias("d").join(hosts.alias("h"), F.col("d.host").eqNullSafe(F.col("h.host")), "left")
-    return joined.select(
-        "doc_id", *COUNTS, F.col("base").alias("base_failed"), (~F.col("base") & ~F.col("host_rejected")).alias("kept"), F.col("d.host").alias("host"), "host_docs", "host_rejected"
-    )
+    verdict = ~F.col("base") & ~F.col("host_rejected")
+    return joined.select("doc_id", *COUNTS, F.col("base").alias("base_failed"), verdict.alias("kept"), F.col("d.host").alias("host"), "host_docs", "host_rejected", *keep)

@@ -107,10 +107,12 @@ f AS (
     word_chars < 2 * n_words OR word_chars > 15 * n_words AS wl, 10 * n_dup_lines > n_words AS dl FROM m),
 s AS (
   SELECT source, count(*) AS n, rule, sum(fail::BIGINT)::BIGINT AS fails
-  FROM (SELECT source, unnest([base, sy, wl, dl]) AS fail, unnest([1, 2, 3, 4]) AS rule FROM f) GROUP BY source, rule),
+  FROM (SELECT source, unnest([base, sy, wl, dl, base OR sy OR wl OR dl]) AS fail, unnest([1, 2, 3, 4, 5]) AS rule FROM f) GROUP BY source, rule),
 p AS (SELECT rule, avg(fails / n) AS m, var_pop(fails / n) AS v FROM s GROUP BY rule),
 q AS (SELECT rule, m, CASE WHEN v > 1e-12 THEN greatest(1.0, least(1000.0, m * (1 - m) / v - 1)) ELSE 1000.0 END AS z FROM p),
-b AS (SELECT source, max((fails + z * m) / (n + z)) > 0.9 AS rejected FROM s JOIN q USING (rule) GROUP BY source)
+b AS (
+  SELECT source, bool_or((fails + z * m) / (n + z) > least(0.9, greatest(0.5, m + 3 * sqrt(m * (1 - m) / (z + 1))))) AS rejected
+  FROM s JOIN q USING (rule) GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base AS base_failed, NOT base AND NOT rejected AS kept
 FROM f JOIN b ON f.source IS NOT DISTINCT FROM b.source
 """
