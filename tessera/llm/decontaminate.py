@@ -82,15 +82,15 @@ def occurrences(docs: DataFrame, items: DataFrame, window: int, shingle: int) ->
     return met.where(same).select("row_key", start.alias("start"), "len", "win")
 
 
-def find_contamination(docs: DataFrame, items: DataFrame, window: int = 10, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated: one row per row of docs.
+def find_contamination(docs: DataFrame, items: DataFrame, window: int = 10, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and the columns `keep`: one row per row of docs.
 
     n_hit counts the document's words inside any occurrence of any window. Null or empty texts have no words; items
     without words have no windows. Rows that repeat an id are judged each by its own text; a null id stays null. An
     empty table of items hits nothing; an empty table of documents gives no rows. Other columns are ignored.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), words(text).alias("w"), F.md5(text).alias("row_key"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), words(text).alias("w"), F.md5(text).alias("row_key"), *keep)
     bench = items.select(F.col(item_id_col).cast("string").alias("item_id"), F.col(item_text_col).alias("text"))
     found = written(occurrences(rows.select("row_key", "w"), bench, window, shingle).distinct(), "occurrences")
 
@@ -100,7 +100,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = 10, shin
     named = found.select("row_key", "win").distinct().join(window_items(bench, window), "win").select("row_key", "item_id").distinct()
     named = named.groupBy("row_key").agg(F.count("item_id").alias("n_items"), F.array_join(F.array_sort(F.collect_list("item_id")), ",").alias("items"))
     judged = hit.join(named, "row_key", "left")
-    out = rows.select("doc_id", "row_key", F.size("w").cast("long").alias("n_words")).join(judged, "row_key", "left")
+    out = rows.select("doc_id", "row_key", F.size("w").cast("long").alias("n_words"), *keep).join(judged, "row_key", "left")
     return out.select(
         "doc_id",
         "n_words",
@@ -108,4 +108,5 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = 10, shin
         F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
         F.sha2(F.coalesce("items", F.lit("")), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0).cast("long")) > 0).alias("contaminated"),
+        *keep,
     )

@@ -130,7 +130,7 @@ def components_by_brute_force(rows):
 def test_near_duplicates_equal_brute_force(spark):
     r = np.random.default_rng(5)
     base = [f"t{x}" for x in r.integers(0, 400, 150)]
-    rows = [x for x in ODD if x[0] != 5] + [(5, "same row"), (9, "Same ROW"), (10, "x y")]
+    rows = [x for x in ODD if x[0] != 5] + [(5, "same row"), (9, "Same ROW"), (10, "x y"), (None, "no id here"), (11, "No Id here")]
     for k in range(120):  # edited copies of one text, and copies of these
         w = list(base)
         for at in r.integers(0, 150, k % 7):
@@ -138,18 +138,33 @@ def test_near_duplicates_equal_brute_force(spark):
         rows.append((100 + k, " ".join(w)))
     rows += [(500 + k, t) for k, (_, t) in enumerate(rows[-20:])]
     want = components_by_brute_force(rows)
-    for p in (minhash.Params(), minhash.Params(block=16)):
+    for p in (minhash.Params(), minhash.Params(block=16, stars=2, large=0)):
         got = minhash.near_duplicates(docs(spark, rows), p).collect()
         assert len(got) == len(rows)
         for x in got:
             if x.doc_id is None:
-                assert x.component_id is None and x.kept
+                assert x.component_id == 11 and not x.kept
             else:
                 assert x.component_id == want[x.doc_id] and x.kept == (x.doc_id == x.component_id)
                 assert x.n_shingles == len(shingles(dict(rows)[x.doc_id]))
     assert minhash.near_duplicates(docs(spark, [])).count() == 0
 
 
+def test_rows_belong_by_their_own_text(spark):
+    a, b = (" ".join(f"{p}{k}" for k in range(120)) for p in "ab")
+    rows = [(1, a), (5, a + " end"), (5, b), (7, b + " end"), (None, b + " end"), (None, "alone and unnamed here now"), (None, "alone and unnamed here now"), (8, ""), (8, "")]
+    got = Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(docs(spark, rows)).collect())
+    assert got == Counter([(1, 116, 1, True), (5, 117, 1, False), (5, 116, 5, True), (7, 117, 5, False), (None, 117, 5, False), (None, 1, None, True), (None, 1, None, True), (8, 0, 8, True), (8, 0, 8, True)])
+
+
+def test_many_near_copies_of_each_other(spark):
+    """Families in which a pivot meets few: each member is near the next ones only."""
+    rows = [(1000 * f + k, " ".join([f"w{f}x{j}" for j in range(k, k + 150)])) for f in range(3) for k in range(0, 260, 2)]
+    want = components_by_brute_force(rows)
+    got = minhash.near_duplicates(docs(spark, rows), minhash.Params(block=8, stars=1, large=0))
+    assert {r.doc_id: r.component_id for r in got.collect()} == want
+
+
 def test_components(spark):
     pairs = [(k, k + 1) for k in range(0, 40)] + [(100, 90), (90, 95), (7, 7)]
     got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(pairs, "u long, v long")).collect()}
@@ -396,6 +411,10 @@ def test_quality_rules_equal_brute_force(spark):
     mixed = spark.createDataFrame([(k, good if k % 100 else "bad", "worst" if k < 300 and k % 100 else "fine") for k in range(600)], "doc_id long, text string, source string")
     assert quality_rules.apply_quality_rules(mixed).where("kept").count() == 594
     hosts = spark.createDataFrame([(k, "bad" if k < 900 else good, "spam" if k < 905 else f"h{k % 9}") for k in range(2000)], "doc_id long, text string, source string")
+    halves = [(k, good if k % 5 == 0 else "short one" if k % 5 < 3 else good + " #" * 40, "mixed") for k in range(1000)]  # most fail, no rule alone is failed by most
+    halves += [(1000 + k, good, f"h{k % 30}") for k in range(3000)]
+    split = quality_rules.apply_quality_rules(spark.createDataFrame(halves, "doc_id long, text string, source string"))
+    assert split.where("kept").count() == 3000 and split.where("host_rejected").count() == 1000
     out = quality_rules.apply_quality_rules(hosts)
     assert out.where("doc_id between 900 and 904 and not kept and not base_failed").count() == 5 and out.where("kept").count() == 1095
     assert quality_rules.apply_quality_rules(docs(spark, [])).count() == 0
