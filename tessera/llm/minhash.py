@@ -38,9 +38,10 @@ class Params:
     rows: int = 8
     slack: float = 4.5
     block: int = 512
-    #: Stars are repeated, this often at most, while the buckets of several components have more members than `large` on average.
+    #: Stars are repeated, this often at most, while a member of the buckets with several components has more than `large`
+    #: others to be compared with; as many comparisons take about as long as its signature.
     stars: int = 4
-    large: int = 200
+    large: int = 20_000
     seed: int = 7
 
     def __post_init__(self):
@@ -138,21 +139,24 @@ def signatures(docs: DataFrame, p: Params, keep: tuple[str, ...] = ()) -> DataFr
 
 
 def _buckets(nodes: DataFrame) -> DataFrame:
-    """key, node, met: the members of every bucket of two or more, and how many others a member meets over all its buckets.
+    """key, node, c: the members of every bucket of two or more, and its size.
 
     Sizes are summed in parts first; a table of them is joined back, so that a hot bucket's rows are dealt to many tasks.
     """
     rows = nodes.select("node", F.explode("bands").alias("key"))
     sizes = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "sizes")
-    shared = rows.where(maybe(bitmap(sizes, "key"), F.col("key"))).join(sizes, "key")
-    met = written(shared.groupBy("node").agg(F.sum("c").alias("met")), "met")
-    out = written(shared.join(met, "node").select("key", "node", "met"), "buckets")
-    forget(sizes, met)
+    out = written(rows.where(maybe(bitmap(sizes, "key"), F.col("key"))).join(sizes, "key").select("key", "node", "c"), "buckets")
+    forget(sizes)
     return out
 
 
+def _by_meetings(buckets: DataFrame) -> DataFrame:
+    """The buckets with `met`: how many a member meets over all its buckets."""
+    return buckets.join(buckets.groupBy("node").agg(F.sum("c").alias("met")), "node").select("key", "node", "met", F.col("node").alias("part"))
+
+
 def _stars(members: DataFrame, order: F.Column) -> DataFrame:
-    """Pairs (a, b): of each bucket of members (key, node, part) the pivot, which has the most of `order`, with the others' parts' members."""
+    """Pairs (a, b): of each bucket of members (key, node, part) the pivot, which has the most of `order`, with all of other parts."""
     pivot = written(members.groupBy("key").agg(F.max(F.struct(order.alias("o"), (-F.col("node")).alias("less"), "part")).alias("p")).select("key", (-F.col("p.less")).alias("pivot"), F.col("p.part").alias("own")), "pivots")
     return members.join(pivot, "key").where("part <> own").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
 
@@ -199,7 +203,7 @@ def _linked(found: DataFrame, docs: DataFrame, nodes: DataFrame, p: Params) -> D
     """The pairs (a, b) whose sizes, signatures and then full sets are similar enough, as a table of edges (u, v)."""
     pairs = written(_signed(found, nodes, p), "pairs")
     named = nodes.select("node", "row", "set_id").join(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "node", "left_semi")
-    sets = written(_sets(docs, written(named, "named"), p), "sets")
+    sets = written(_sets(docs, named, p), "sets")
     side = lambda x: sets.select(F.col("node").alias(x), F.col("set").alias(f"set_{x}"))
     percent = p.percent
 
@@ -219,13 +223,11 @@ def _linked(found: DataFrame, docs: DataFrame, nodes: DataFrame, p: Params) -> D
 
 
 def _split(buckets: DataFrame, parts: DataFrame) -> tuple[DataFrame, int, int]:
-    """key, node, met, part, c of the buckets that hold several components, the number of rows, and of ordered pairs in a bucket."""
-    known = written(buckets.join(parts, "node", "left").select("key", "node", "met", F.coalesce("component", "node").alias("part")), "known")
+    """key, node, part, c of the buckets that hold several components, the number of rows, and of ordered pairs in a bucket."""
+    known = buckets.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"))
     span = written(known.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count(F.lit(1)).alias("c")).where("low <> high").select("key", "c"), "span")
     rows, pairs = span.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum(F.col("c") * F.col("c")), F.lit(0))).first()
-    out = written(known.join(span, "key"), "split")
-    forget(known, span)
-    return out, rows, pairs
+    return known.join(span, "key"), rows, pairs
 
 
 def _rest(split: DataFrame, nodes: DataFrame, p: Params) -> DataFrame:
@@ -300,7 +302,7 @@ def near_duplicates(docs: DataFrame, params: Params | None = None, id_col: str =
     met = buckets.select("node").distinct()
     tied = written(nodes.where(maybe(bitmap(met.select(F.xxhash64("node").alias("h")), "h"), F.xxhash64("node"))).drop("copies", "first_id").join(met, "node", "left_semi"), "tied")
 
-    links = _linked(_stars(buckets.withColumn("part", F.col("node")), F.col("met")), docs, tied, p)
+    links = _linked(_stars(_by_meetings(buckets), F.col("met")), docs, tied, p)
     parts = connected_components(links)
     for k in range(p.stars + 1):
         split, rows, pairs = _split(buckets, parts)
@@ -309,7 +311,6 @@ def near_duplicates(docs: DataFrame, params: Params | None = None, id_col: str =
         exact = pairs <= p.large * rows or k == p.stars
         more = _linked(_rest(split, tied, p).distinct() if exact else _stars(split, F.xxhash64("node", F.lit(k))), docs, tied, p)
         links, parts = links.union(more), connected_components(links.union(more))
-        forget(split)
         if exact:
             break
     forget(buckets, tied)
