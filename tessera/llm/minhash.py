@@ -230,27 +230,42 @@ def _split(buckets: DataFrame, parts: DataFrame) -> tuple[DataFrame, int, int]:
     return known.join(span, "key"), rows, pairs
 
 
-def _rest(split: DataFrame, nodes: DataFrame, p: Params) -> DataFrame:
-    """Pairs (a, b) of one bucket but of different components so far whose signatures allow a link.
+def _rest(split: DataFrame, docs: DataFrame, nodes: DataFrame, p: Params) -> DataFrame:
+    """Links (u, v) between the members of one bucket that are of different components so far, as a table.
 
-    Buckets are cut in blocks of about p.block members by hash, and each pair of blocks is compared by itself; a pair is
-    given in the first band that it shares.
+    Buckets are cut in blocks of about p.block members by hash, and each pair of blocks is compared by itself. A first
+    pass finds the members of a pair of blocks that have a likely partner there; only these get their full sets, and the
+    second pass compares them exactly, so no pair is written that isn't a link.
     """
     last = F.floor((F.col("c") - 1) / p.block)
     block = F.pmod(F.xxhash64("node"), last + 1)
     dealt = split.select("key", "node", "part", block.alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("other"))
     dealt = dealt.select("node", "part", "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") <= F.col("other")).alias("first"))
-    dealt = dealt.join(nodes.select("node", "sig", "bands", "n_shingles"), "node").select("node", "part", "n_shingles", "sig", "bands", "key", "i", "j", "first")
-    n, bands, least, percent = p.bands * p.rows, p.bands, p.least_match, p.percent
+    signed = nodes.select("node", "n_shingles", "sig", "bands")
+    place = ("node", "part", "key", "i", "j", "first")
+    near = written(_compared(dealt.join(signed, "node").select(*place, "n_shingles", "sig", "bands"), p, "node long, part long, key long, i long, j long, first boolean"), "near")
+    sets = written(_sets(docs, nodes.select("node", "row", "set_id").join(near.select("node").distinct(), "node", "left_semi"), p), "sets")
+    full = near.join(signed, "node").join(sets, "node").select(*place, "n_shingles", "sig", "bands", "set")
+    out = written(_compared(full, p, "u long, v long").distinct(), "links")
+    forget(near, sets)
+    return out
+
+
+def _compared(dealt: DataFrame, p: Params, schema: str) -> DataFrame:
+    """Of the rows of a pair of blocks those with a likely partner; with their sets the links between them.
+
+    A pair is taken in the first band that it shares.
+    """
+    n, bands, least, percent, exact = p.bands * p.rows, p.bands, p.least_match, p.percent, "set" in dealt.columns
 
-    def compare(rows: list[tuple]) -> Iterator[tuple[int, int]]:
-        node = np.array([r[0] for r in rows])
+    def partners(rows: list[tuple]) -> Iterator[tuple[int, np.ndarray]]:
+        """Of each row's index the later ones that are likely."""
         part = np.array([r[1] for r in rows])
-        size = np.array([r[2] for r in rows])
-        sig = np.frombuffer(b"".join(r[3] for r in rows), dtype=np.uint8).reshape(-1, n)
-        keys = np.array([r[4] for r in rows], dtype=np.int64).reshape(-1, bands)
-        band, i, j = rows[0][5] & 63, rows[0][6], rows[0][7]
-        first = np.array([r[8] for r in rows])  # in block i, not in block j
+        size = np.array([r[6] for r in rows])
+        sig = np.frombuffer(b"".join(r[7] for r in rows), dtype=np.uint8).reshape(-1, n)
+        keys = np.array([r[8] for r in rows], dtype=np.int64).reshape(-1, bands)
+        band, i, j = rows[0][2] & 63, rows[0][3], rows[0][4]
+        first = np.array([r[5] for r in rows])  # in block i, not in block j
         for x in range(len(rows) - 1):
             y = np.arange(x + 1, len(rows))
             fit = (part[y] != part[x]) & (100 * np.minimum(size[y], size[x]) >= percent * np.maximum(size[y], size[x]))
@@ -259,27 +274,50 @@ def _rest(split: DataFrame, nodes: DataFrame, p: Params) -> DataFrame:
             y = y[fit]
             y = y[(sig[y] == sig[x]).sum(axis=1) >= least]
             y = y[np.argmax(keys[y] == keys[x], axis=1) == band]
-            for other in node[y].tolist():
-                yield min(int(node[x]), other), max(int(node[x]), other)
+            if len(y):
+                yield x, y
+
+    def likely(rows: list[tuple]) -> list[tuple]:
+        found = set()
+        for x, y in partners(rows):
+            found.add(x)
+            found.update(y.tolist())
+        return [rows[k][:6] for k in sorted(found)]
+
+    def links(rows: list[tuple]) -> list[tuple]:
+        sets, out = [np.frombuffer(r[9], dtype=np.uint64) for r in rows], []
+        for x, others in partners(rows):
+            for y in others.tolist():
+                same = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if 100 * same >= percent * (len(sets[x]) + len(sets[y]) - same):
+                    out.append((min(rows[x][0], rows[y][0]), max(rows[x][0], rows[y][0])))
+        return out
+
+    names = [c.split()[0] for c in schema.split(", ")]
+    kinds = [pa.bool_() if c.endswith("boolean") else pa.int64() for c in schema.split(", ")]
+
+    def table(found: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in found], kind) for k, kind in enumerate(kinds)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, group, found = [], None, []
+        take = links if exact else likely
         for b in batches:
             for r in zip(*(c.to_pylist() for c in b.columns)):
-                if (at := r[5:8]) != group:
+                if (at := r[2:5]) != group:
                     if len(rows) > 1:
-                        found += compare(rows)
+                        found += take(rows)
                     rows, group = [], at
                 rows.append(r)
             if len(found) > 10_000:
-                yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+                yield table(found)
                 found = []
         if len(rows) > 1:
-            found += compare(rows)
-        yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+            found += take(rows)
+        yield table(found)
 
     # a key and a pair of blocks have about 2 * p.block rows
-    return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long")
+    return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, schema)
 
 
 def near_duplicates(docs: DataFrame, params: Params | None = None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -309,7 +347,7 @@ def near_duplicates(docs: DataFrame, params: Params | None = None, id_col: str =
         if not rows:
             break
         exact = pairs <= p.large * rows or k == p.stars
-        more = _linked(_rest(split, tied, p).distinct() if exact else _stars(split, F.xxhash64("node", F.lit(k))), docs, tied, p)
+        more = _rest(split, docs, tied, p) if exact else _linked(_stars(split, F.xxhash64("node", F.lit(k))), docs, tied, p)
         links, parts = links.union(more), connected_components(links.union(more))
         if exact:
             break
