@@ -23,9 +23,22 @@ def clip(long: DataFrame, low: float = 0.01, high: float = 0.99, value: str = "r
     return long.join(F.broadcast(bounds), by).withColumn(out, F.when(F.col(value).isNotNull(), F.least(F.greatest(F.col(value), F.col("_a")), F.col("_b")))).drop("_a", "_b")
 
 
+def ranks(long: DataFrame, value: str, key: str, by: str, name: str = "_r") -> DataFrame:
+    """Rows with their rank from 1 by value, then key, within `by`.
+
+    Rows are dealt into ranges of (by, value, key); each range is numbered by itself and its offset within `by` is a
+    running sum over the ranges' counts (a row per range and `by`), so no task holds all rows of one `by`.
+    """
+    ranged = long.repartitionByRange(by, value, key).withColumn("_p", F.spark_partition_id())
+    counts = ranged.groupBy(by, "_p").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select(by, "_p", (F.sum("_n").over(Window.partitionBy(by).orderBy("_p")) - F.col("_n")).alias("_before"))
+    numbered = ranged.withColumn("_k", F.row_number().over(Window.partitionBy("_p", by).orderBy(value, key)))
+    return numbered.join(F.broadcast(before), [by, "_p"]).withColumn(name, F.col("_before") + F.col("_k")).drop("_p", "_k", "_before")
+
+
 def quantile_norm(long: DataFrame, value: str = "raw", out: str = "norm", by: str = "marker", key: str = "cell_id") -> DataFrame:
     """Each value becomes the mean over markers of the values of its rank; equal values are ranked by cell."""
-    ranked = long.withColumn("_r", F.row_number().over(Window.partitionBy(by).orderBy(value, key)))
+    ranked = ranks(long, value, key, by)
     means = ranked.groupBy("_r").agg(F.avg(value).alias(out))
     return ranked.join(means, "_r").drop("_r")
 

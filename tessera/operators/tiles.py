@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -59,33 +61,37 @@ def on_tiles(pixels: DataFrame, height: int, width: int, tile: tuple[int, int],
     return j.withColumn("tile_id", F.col("i") * nx + F.col("j")).drop("i", "j")
 
 
-def renumber(labels: DataFrame) -> DataFrame:
-    """tile_id, label, cell_id: ids from 1 in the order of tiles, then labels; background isn't numbered.
+def renumber(labels: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """by, tile_id, label, cell_id: ids from 1 in the order of tiles, then labels, in each image; background isn't numbered.
 
-    Labels are counted by tile, offsets are running sums of those counts (a row per tile), so no task sees all labels.
+    by: columns that tell images apart. Labels are counted by tile, offsets are running sums of those counts (a row per
+    tile), so no task sees all labels.
     """
-    seen = labels.where("label > 0").select("tile_id", "label").distinct()
-    counts = seen.groupBy("tile_id").agg(F.count(F.lit(1)).alias("n"))
-    before = counts.select("tile_id", (F.sum("n").over(Window.orderBy("tile_id")) - F.col("n")).alias("before"))
-    ranked = seen.withColumn("k", F.row_number().over(Window.partitionBy("tile_id").orderBy("label")))
-    return ranked.join(before, "tile_id").select("tile_id", "label", (F.col("before") + F.col("k")).alias("cell_id"))
+    tile = [*by, "tile_id"]
+    seen = labels.where("label > 0").select(*tile, "label").distinct()
+    counts = seen.groupBy(*tile).agg(F.count(F.lit(1)).alias("n"))
+    image = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))
+    before = counts.select(*tile, (F.sum("n").over(image.orderBy("tile_id")) - F.col("n")).alias("before"))
+    ranked = seen.withColumn("k", F.row_number().over(Window.partitionBy(*tile).orderBy("label")))
+    return ranked.join(before, tile).select(*tile, "label", (F.col("before") + F.col("k")).alias("cell_id"))
 
 
-def stitch(labels: DataFrame) -> DataFrame:
-    """y, x, cell_id from (tile_id, y, x, label) of the tiles' cores: at each pixel the last tile wins, background too.
+def stitch(labels: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """by, y, x, cell_id from (by, tile_id, y, x, label) of the tiles' cores: at each pixel the last tile wins, background too.
 
     Background is left out only after the choice; ids whose pixels were all overwritten leave gaps.
     """
-    won = labels.groupBy("y", "x").agg(F.max(F.struct("tile_id", "label")).alias("w")).select("y", "x", "w.tile_id", "w.label").where("label > 0")
-    return won.join(renumber(labels), ["tile_id", "label"]).select("y", "x", "cell_id")
+    pixel = [*by, "y", "x"]
+    won = labels.groupBy(*pixel).agg(F.max(F.struct("tile_id", "label")).alias("w")).select(*pixel, "w.tile_id", "w.label").where("label > 0")
+    return won.join(renumber(labels, by), [*by, "tile_id", "label"]).select(*pixel, "cell_id")
 
 
-def merge_seams(stitched: DataFrame) -> DataFrame:
-    """Pairs (u, v) of different ids that touch at an edge: what a merging seam policy would unite."""
-    right = stitched.select("y", (F.col("x") - 1).alias("x"), F.col("cell_id").alias("o"))
-    down = stitched.select((F.col("y") - 1).alias("y"), "x", F.col("cell_id").alias("o"))
-    touch = stitched.join(right.union(down), ["y", "x"]).where("cell_id <> o")
-    return touch.select(F.least("cell_id", "o").alias("u"), F.greatest("cell_id", "o").alias("v")).distinct()
+def merge_seams(stitched: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """by and pairs (u, v) of different ids that touch at an edge: what a merging seam policy would unite."""
+    right = stitched.select(*by, "y", (F.col("x") - 1).alias("x"), F.col("cell_id").alias("o"))
+    down = stitched.select(*by, (F.col("y") - 1).alias("y"), "x", F.col("cell_id").alias("o"))
+    touch = stitched.join(right.union(down), [*by, "y", "x"]).where("cell_id <> o")
+    return touch.select(*by, F.least("cell_id", "o").alias("u"), F.greatest("cell_id", "o").alias("v")).distinct()
 
 
 def cell_count(labels: DataFrame, as_reference: bool = False) -> DataFrame:
@@ -99,17 +105,41 @@ def mean_diameter(tiles: DataFrame, diameters: str) -> DataFrame:
     return tiles.select(F.explode(diameters).alias("d")).agg(F.avg("d").alias("mean_diameter"))
 
 
-def runs(stitched: DataFrame) -> DataFrame:
-    """Run-length rows y, x0, x1 (half-open), cell_id."""
-    w = Window.partitionBy("y", "cell_id").orderBy("x")
+def runs(stitched: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Run-length rows by, y, x0, x1 (half-open), cell_id."""
+    w = Window.partitionBy(*by, "y", "cell_id").orderBy("x")
     grouped = stitched.withColumn("g", F.col("x") - F.row_number().over(w))
-    return grouped.groupBy("y", "cell_id", "g").agg(F.min("x").alias("x0"), (F.max("x") + 1).alias("x1")).drop("g")
+    return grouped.groupBy(*by, "y", "cell_id", "g").agg(F.min("x").alias("x0"), (F.max("x") + 1).alias("x1")).drop("g")
 
 
-def zonal(stitched: DataFrame, pixels: DataFrame, value: str) -> DataFrame:
-    """cell_id, mean value, area, centroid x and y, perimeter (edges to another id or none)."""
-    near = F.explode(F.array(*[F.struct((F.col("y") + dy).alias("y"), (F.col("x") + dx).alias("x")) for dy, dx in ((0, 1), (0, -1), (1, 0), (-1, 0))])).alias("p")
-    sides = stitched.select("cell_id", near).select("cell_id", "p.y", "p.x").join(stitched.select("y", "x", F.col("cell_id").alias("o")), ["y", "x"], "left")
-    edge = sides.where(F.col("o").isNull() | (F.col("o") != F.col("cell_id"))).groupBy("cell_id").agg(F.count(F.lit(1)).alias("perimeter"))
-    by = stitched.join(pixels.select("y", "x", F.col(value).alias("v")), ["y", "x"]).groupBy("cell_id").agg(F.avg("v").alias("mean"), F.count(F.lit(1)).alias("area"), F.avg("x").alias("x"), F.avg("y").alias("y"))
-    return by.join(edge, "cell_id", "left").na.fill(0, ["perimeter"])
+def zonal(stitched: DataFrame, pixels: DataFrame, value: str, by: tuple[str, ...] = (), side: int = 256) -> DataFrame:
+    """by, cell_id, mean value, area, centroid x and y, perimeter (edges to another id or none).
+
+    Pixels are gathered in squares of side `side` with the one pixel around them that a border needs, and each square
+    gives partial sums by cell in one pass with numpy; only these are added up across squares.
+    """
+    square = [*by, "gy", "gx"]
+    put = lambda df, *cols: df.select(*by, F.floor(F.col("y") / side).alias("gy"), F.floor(F.col("x") / side).alias("gx"), "y", "x", *cols)
+    inside = put(stitched.join(pixels.select(*by, "y", "x", F.col(value).cast("double").alias("v")), [*by, "y", "x"], "left"), "cell_id", "v")
+    edge = lambda c, d: F.pmod(F.col(c), F.lit(side)) == (0 if d < 0 else side - 1)
+    place = lambda dy, dx: F.struct((F.col("gy") + dy).alias("gy"), (F.col("gx") + dx).alias("gx"), F.lit(not (dy or dx)).alias("own"))
+    places = [place(0, 0), *[F.when(edge(c, d), place(d if c == "y" else 0, d if c == "x" else 0)) for c in "yx" for d in (-1, 1)]]
+    rows = inside.withColumn("s", F.explode(F.filter(F.array(*places), lambda p: p.isNotNull()))).select(*by, "s.gy", "s.gx", "y", "x", "cell_id", "v", "s.own")
+
+    def partial(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        y0, x0 = key[-2] * side - 1, key[-1] * side - 1
+        grid = np.zeros((side + 2, side + 2), dtype=np.int64)
+        y, x = (pdf.y - y0).to_numpy(), (pdf.x - x0).to_numpy()
+        grid[y, x] = pdf.cell_id
+        own = pdf.own.to_numpy()
+        pdf, y, x = pdf[own], y[own], x[own]
+        other = sum((grid[y + dy, x + dx] != grid[y, x]).astype(np.int64) for dy, dx in ((0, 1), (0, -1), (1, 0), (-1, 0)))
+        got = pd.DataFrame({"cell_id": pdf.cell_id, "n": 1, "vs": pdf.v.fillna(0.0), "vn": pdf.v.notna().astype("int64"), "xs": pdf.x, "ys": pdf.y, "edges": other}).groupby("cell_id", as_index=False).sum()
+        for k, name in enumerate(by):
+            got[name] = key[k]
+        return got[[*by, "cell_id", "n", "vs", "vn", "xs", "ys", "edges"]]
+
+    kinds = dict(stitched.dtypes)
+    schema = ", ".join([*(f"{c} {kinds[c]}" for c in by), "cell_id long, n long, vs double, vn long, xs long, ys long, edges long"])
+    parts = rows.groupBy(*square).applyInPandas(partial, schema).groupBy(*by, "cell_id").agg(*[F.sum(c).alias(c) for c in ("n", "vs", "vn", "xs", "ys", "edges")])
+    return parts.where("vn > 0").select(*by, "cell_id", (F.col("vs") / F.col("vn")).alias("mean"), F.col("n").alias("area"), (F.col("xs") / F.col("n")).alias("x"), (F.col("ys") / F.col("n")).alias("y"), F.col("edges").alias("perimeter"))
