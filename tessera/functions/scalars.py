@@ -81,3 +81,22 @@ def palette_position(rank: Column, n: Column) -> Column:
 
 def squared_distance(ax: Column, ay: Column, bx: Column, by: Column) -> Column:
     return (ax - bx) * (ax - bx) + (ay - by) * (ay - by)
+
+
+def memory_limit(ram_gb: float, device_gb: float | None = None) -> float:
+    """The memory that bounds a run: the least of main and device memory."""
+    return ram_gb if device_gb is None else min(ram_gb, device_gb)
+
+
+def shrunk_tile(tile: int, free_gb: float, need_gb: float, least: int = 256) -> int:
+    """A smaller tile after one that didn't fit: its area falls with free by need memory, a fifth kept back; a multiple of 256.
+
+    Always smaller than before, down to `least`.
+    """
+    side = tile * min(0.5, math.sqrt(max(0.0, free_gb / need_gb * 0.8))) if need_gb > free_gb else tile / 2
+    return max(least, math.floor(side) // 256 * 256)
+
+
+def elapsed(start: Column, end: Column) -> Column:
+    """Seconds between two timestamps, with fractions."""
+    return (F.unix_micros(end) - F.unix_micros(start)) / 1e6

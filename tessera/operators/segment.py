@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 Segmenter = Callable[[np.ndarray], np.ndarray]
+#: A model may give labels alone or a tuple that begins with them, and then flows, styles and diameters.
+Masks = np.ndarray | tuple
 LABELS = "tile_id long, y long, x0 long, x1 long, label long"
 
 
@@ -68,3 +70,40 @@ def segment_tiles(tiles: DataFrame, segmenter: Segmenter) -> DataFrame:
                 yield pd.DataFrame(rows, columns=["tile_id", "y", "x0", "x1", "label"])
 
     return tiles.mapInPandas(run, LABELS)
+
+
+def as_masks(result: Masks) -> tuple[np.ndarray, object, object, float | None]:
+    """labels, flows, styles, diameter of what a model gives: labels, or a tuple of two to four that begins with them."""
+    parts = result if isinstance(result, tuple) else (result,)
+    if not 1 <= len(parts) <= 4:
+        raise ValueError(f"a model gave {len(parts)} parts; labels, flows, styles and diameter are known")
+    labels, flows, styles, diameter = (*parts, *[None] * (4 - len(parts)))
+    return np.asarray(labels), flows, styles, None if diameter is None else float(np.mean(diameter))
+
+
+def stack_channels(tiles: DataFrame, channels: list[int]) -> DataFrame:
+    """One row per tile with `stack`: the pixels of the given pages in order; tiles that lack one are left out.
+
+    A tile's channels are gathered by path and tile, at most one row each, so a group is a few windows.
+    """
+    from pyspark.sql import functions as F
+
+    page = F.map_from_entries(F.collect_list(F.struct("page", "data")))
+    got = tiles.where(F.col("page").isin(channels)).groupBy("path", "tile_id", "y0", "x0", "h", "w", "dtype").agg(page.alias("by_page"))
+    return got.where(F.size("by_page") == len(channels)).select("path", "tile_id", "y0", "x0", "h", "w", "dtype", F.array(*[F.col("by_page")[c] for c in channels]).alias("stack"))
+
+
+def segment_stacks(stacks: DataFrame, model: Callable[[np.ndarray], Masks]) -> DataFrame:
+    """Run-length rows like segment_tiles', from a model that takes an array (channel, y, x)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for r in pdf.itertuples():
+                image = np.stack([np.frombuffer(x, dtype=np.dtype(r.dtype)).reshape(r.h, r.w) for x in r.stack])
+                label, rows = as_masks(model(image))[0], []
+                for y in range(r.h):
+                    cuts = (np.flatnonzero(np.diff(label[y])) + 1).tolist()
+                    rows += [(r.tile_id, r.y0 + y, r.x0 + a, r.x0 + b, int(label[y][a])) for a, b in zip([0, *cuts], [*cuts, r.w]) if label[y][a]]
+                yield pd.DataFrame(rows, columns=["tile_id", "y", "x0", "x1", "label"])
+
+    return stacks.mapInPandas(run, LABELS)

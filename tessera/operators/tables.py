@@ -101,3 +101,44 @@ def quality_control(df: DataFrame, value: str, least: float, most: float) -> Dat
 
 def custom_filter(df: DataFrame, predicate: Column | str | None = None) -> DataFrame:
     return df if predicate is None else df.where(predicate)
+
+
+def present(df: DataFrame, wanted: list[str]) -> list[str]:
+    """The wanted columns that df has, in the order wanted: a plot or a join goes on without those that are absent."""
+    return [c for c in wanted if c in df.columns]
+
+
+def guarded(df: DataFrame, required: list[str], optional: list[str]) -> DataFrame:
+    """required columns and those optional ones that df has; a missing required one is an error that names it."""
+    if lost := [c for c in required if c not in df.columns]:
+        raise ValueError(f"columns {lost} are missing")
+    return df.select(*required, *present(df, [c for c in optional if c not in required]))
+
+
+def filtered_sum(df: DataFrame, value: str, predicate: Column | str, by: tuple[str, ...] = ()) -> DataFrame:
+    """by, total: the sum of the rows that the predicate holds for, 0 where it holds for none."""
+    keep = F.expr(predicate) if isinstance(predicate, str) else predicate
+    return df.groupBy(*by).agg(F.coalesce(F.sum(F.when(keep, F.col(value))), F.sum(F.lit(0))).alias("total"))
+
+
+def throttled(steps: DataFrame, order: str, seconds: str, run: str, every: int = 5, least_s: float = 30.0) -> DataFrame:
+    """The steps that a progress line is written for: each `every`-th of a run, and one that ends a further least_s seconds."""
+    upto = Window.partitionBy(run).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    counted = steps.withColumns({"_k": F.count(F.lit(1)).over(upto), "_t": F.sum(seconds).over(upto)})
+    spans = F.floor(F.col("_t") / least_s) > F.floor((F.col("_t") - F.col(seconds)) / least_s)
+    return counted.where((F.col("_k") % every == 0) | spans).drop("_k", "_t")
+
+
+def ordered_means(df: DataFrame, type_col: str, markers: list[str]) -> DataFrame:
+    """mean_by_type with its rows in the order of the types, as a group-by of data frames gives them."""
+    return mean_by_type(df, type_col, markers).orderBy(type_col)
+
+
+def export_table(cells: DataFrame, clusters: DataFrame, spatial: DataFrame, interactions: DataFrame, type_col: str = "cluster") -> DataFrame:
+    """One row per cell: its measurements, cluster and spatial figures by cell_id, and its type's strongest interaction by type.
+
+    Left joins, so a cell without a cluster or neighbours stays. interactions: cell_type_1, cell_type_2, interaction_score.
+    """
+    both = interactions.select(F.explode(F.array("cell_type_1", "cell_type_2")).alias(type_col), "interaction_score")
+    best = both.groupBy(type_col).agg(F.max("interaction_score").alias("top_interaction"))
+    return cells.join(clusters, "cell_id", "left").join(spatial, "cell_id", "left").join(best, type_col, "left")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars
 from ..operators import cluster, geometry, normalize, spatial, tables, tiles, typing_rules
-from ..schema import CHANNELS, MEASURED, channels
+from ..schema import CHANNELS, MEASURED, PANEL, channels
 from ..sinks.exports import feature_lines
 from ..streaming import ingest
 from . import views
@@ -102,12 +102,6 @@ def _(s, d):
     return c.select("cell_id", "CD45", "PANCK", "Ki67").join(umap, "cell_id").join(c.select("cell_id", "cluster"), "cell_id")
 
 
-@query("j13_k13_export_table", with_(CELLS, "n AS (SELECT cluster, count(*) AS cluster_size FROM cells GROUP BY 1)") + 'SELECT cell_id, x, y, cluster, cluster_size, "CD45" FROM cells JOIN n USING (cluster)')
-def _(s, d):
-    c = views.cells(s, d)
-    return c.select("cell_id", "x", "y", "cluster", "CD45").join(tables.cluster_sizes(c.select("cell_id", "cluster")).select("cell_id", "cluster_size"), "cell_id", "left")
-
-
 # --- space --------------------------------------------------------------------------------------------------------
 
 PAIRS = "pairs AS (SELECT a.cell_id AS a, b.cell_id AS b, a.cluster AS ca, b.cluster AS cb, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) AS d2 FROM cells a JOIN cells b ON a.cell_id < b.cell_id AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= {r2})"
@@ -248,18 +242,18 @@ def _(s, d):
 # --- typing -------------------------------------------------------------------------------------------------------
 
 
-def _typing_sql() -> str:
-    rules = typing_rules.conditions(measured=MEASURED)
+def _typing_sql(markers: list[str] = MEASURED) -> str:
+    rules = typing_rules.conditions(measured=markers)
     level = lambda m: f"max(level) FILTER (marker = '{m}')"
-    wanted = sorted({m for r in rules if r[-1] for m, _ in r[6]})
+    wanted = sorted({m for r in rules if r[-1] for m, _ in r[7]})
     rows = []
-    for row, ref, _, _, sub, least, pairs, ok in rules:
+    for row, ref, _, _, sub, _, least, pairs, ok in rules:
         if ok:
             met = " + ".join(f"CASE WHEN m_{m} = '{v}' THEN 1 ELSE 0 END" for m, v in pairs)
             rows.append(f"SELECT cell_id, {ref} AS ref_id, {row} AS rule, '{sub}' AS cell_type, round(100.0 * ({met}) / {len(pairs)}, 6)::DOUBLE AS confidence FROM w WHERE m_{pairs[0][0]} = 'high' AND round(100.0 * ({met}) / {len(pairs)}, 6) >= {least}")
     return with_(
         CELLS,
-        long_sql(MEASURED),
+        long_sql(markers),
         "q AS (SELECT marker, quantile_cont(raw, 1.0::DOUBLE / 3) AS a, quantile_cont(raw, 2.0::DOUBLE / 3) AS b FROM long GROUP BY 1)",
         "lv AS (SELECT cell_id, marker, CASE WHEN raw >= b THEN 'high' WHEN raw <= a THEN 'low' ELSE 'medium' END AS level FROM long JOIN q USING (marker))",
         "w AS (SELECT cell_id, " + ", ".join(f"{level(m)} AS m_{m}" for m in wanted) + " FROM lv GROUP BY 1)",
@@ -269,8 +263,8 @@ def _typing_sql() -> str:
     )
 
 
-def typed(s, d):
-    return typing_rules.assign_types(typing_rules.marker_levels(tables.measurements(views.cells(s, d), MEASURED)), measured=MEASURED)
+def typed(s, d, markers=MEASURED):
+    return typing_rules.assign_types(typing_rules.marker_levels(tables.measurements(views.cells(s, d), markers)), measured=markers)
 
 
 @query("ml04_j12_cell_types", _typing_sql() + "SELECT cell_id, ref_id, rule, cell_type, confidence FROM typed")
@@ -423,7 +417,7 @@ def _(s, d):
     return cluster.communities(spatial.nearest(views.cells(s, d), MEASURED, 15))
 
 
-@query("k07_geojson")
+@query("k07_geojson", with_(CELLS) + """SELECT cell_id, '{"type":"Feature","id":' || cell_id || ',"geometry":{"type":"Point","coordinates":[' || x || '.0,' || y || '.0]},"properties":{"cluster":' || cluster || ',"CD45":' || "CD45" || '}}' AS feature FROM cells""")
 def _(s, d):
     return feature_lines(views.cells(s, d).select("cell_id", "x", "y", "cluster", "CD45"), ["cluster", "CD45"])
 
@@ -519,11 +513,104 @@ def _(s, d):
     return n.withColumn("start", F.date_format("start", "yyyy-MM-dd HH:mm:ss"))
 
 
-@query("c01_stage_lineage")
+@query("c01_stage_lineage", "SELECT * FROM (VALUES " + ", ".join(f"('{n}', '{k}')" for k, ns in Pipeline.needs.items() for n in ns) + ") t(source, stage)")
 def _(s, d):
     return Pipeline(s, views.cells(s, d)).lineage()
 
 
-@query("ml07_typed_interactions")
+SCORES = "SELECT {by}least(ca, cb) AS cell_type_1, greatest(ca, cb) AS cell_type_2, count(*) AS pairs FROM pairs GROUP BY ALL"
+
+
+@query(
+    "ml07_typed_interactions",
+    _typing_sql() + ", refined AS (SELECT c.cell_id, c.x, c.y, t.cell_type AS cluster FROM cells c JOIN typed t USING (cell_id) WHERE t.ref_id = 1), " + PAIRS.format(r2=2500).replace("cells a", "refined a").replace("cells b", "refined b")
+    + ", n AS (SELECT cluster, count(*) AS n FROM refined GROUP BY 1), sc AS (" + SCORES.format(by="") + ") "
+    "SELECT cell_type_1, cell_type_2, pairs, round(pairs * (SELECT count(*) FROM refined) / (n1.n * n2.n), 6) AS interaction_score FROM sc JOIN n n1 ON n1.cluster = cell_type_1 JOIN n n2 ON n2.cluster = cell_type_2",
+)
 def _(s, d):
     return Pipeline(s, views.cells(s, d)).stage("interactions")
+
+
+# --- several images in one table --------------------------------------------------------------------------------------
+
+
+def slides(s, d):
+    return views.cells(s, d).withColumn("image_id", F.col("cell_id") % 3)
+
+
+SLIDES = "cells0 AS (SELECT *, cell_id % 3 AS image_id FROM cells)"
+SLIDE_PAIRS = "pairs AS (SELECT a.image_id, a.cell_id AS a, b.cell_id AS b, a.cluster AS ca, b.cluster AS cb, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) AS d2 FROM cells0 a JOIN cells0 b ON a.image_id = b.image_id AND a.cell_id < b.cell_id AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 10000)"
+
+
+@query(
+    "a11_interactions_by_image",
+    with_(CELLS, SLIDES, SLIDE_PAIRS, "n AS (SELECT image_id, cluster, count(*) AS n FROM cells0 GROUP BY ALL)", "t AS (SELECT image_id, sum(n) AS total FROM n GROUP BY 1)", "sc AS (" + SCORES.format(by="image_id, ") + ")")
+    + "SELECT image_id, cell_type_1, cell_type_2, pairs, round(pairs * total / (n1.n * n2.n), 6) AS interaction_score FROM sc JOIN t USING (image_id) JOIN n n1 ON n1.image_id = sc.image_id AND n1.cluster = cell_type_1 JOIN n n2 ON n2.image_id = sc.image_id AND n2.cluster = cell_type_2",
+)
+def _(s, d):
+    return spatial.interaction_scores(slides(s, d), 100, by=("image_id",))
+
+
+@query(
+    "a10_density_by_image",
+    with_(CELLS, SLIDES, SLIDE_PAIRS, "met AS (SELECT image_id, a AS cell_id FROM pairs UNION ALL SELECT image_id, b FROM pairs)")
+    + "SELECT image_id, cell_id, count(met.cell_id) AS neighbors, round(count(met.cell_id) / (pi() * 10000), 9) AS local_density FROM cells0 LEFT JOIN met USING (image_id, cell_id) GROUP BY ALL",
+)
+def _(s, d):
+    return rounded(spatial.local_density(slides(s, d), 100, ("image_id",)), 9)
+
+
+# --- joined exports, guards, progress ---------------------------------------------------------------------------------
+
+
+@query(
+    "j10_label_cluster_measurement",
+    with_(CELLS, PIXELS, AXIS, LABELS, STITCH, "areas AS (SELECT cell_id, count(*) AS area FROM st GROUP BY 1)") + 'SELECT cell_id, cluster, area, "CD45", "PANCK" FROM areas JOIN cells USING (cell_id)',
+)
+def _(s, d):
+    areas = tiles.stitch(labels(s, d)).groupBy("cell_id").agg(F.count(F.lit(1)).alias("area"))
+    c = views.cells(s, d)
+    return areas.join(c.select("cell_id", "cluster"), "cell_id").join(c.select("cell_id", "CD45", "PANCK"), "cell_id")
+
+
+@query(
+    "j13_k13_export_table",
+    with_(CELLS, PAIRS.format(r2=10000), BOTH, "n AS (SELECT cluster, count(*) AS cluster_size FROM cells GROUP BY 1)", "sc AS (" + SCORES.format(by="") + ")", "p AS (SELECT cell_type_1, cell_type_2, round(pairs * (SELECT count(*) FROM cells) / (n1.cluster_size * n2.cluster_size), 6) AS sc FROM sc JOIN n n1 ON n1.cluster = cell_type_1 JOIN n n2 ON n2.cluster = cell_type_2)", "top AS (SELECT t AS cluster, max(sc) AS top_interaction FROM (SELECT cell_type_1 AS t, sc FROM p UNION ALL SELECT cell_type_2, sc FROM p) GROUP BY 1)", "nb AS (SELECT cell_id, count(*) AS k FROM met GROUP BY 1)")
+    + 'SELECT cell_id, x, y, cluster, cluster_size, "CD45", coalesce(k, 0) AS neighbors, top_interaction FROM cells JOIN n USING (cluster) LEFT JOIN nb USING (cell_id) LEFT JOIN top USING (cluster)',
+)
+def _(s, d):
+    c = views.cells(s, d)
+    clusters = tables.cluster_sizes(c.select("cell_id", "cluster"))
+    density = spatial.local_density(c, 100).drop("local_density")
+    return tables.export_table(c.select("cell_id", "x", "y", "CD45"), clusters, density, spatial.interaction_scores(c, 100))
+
+
+@query("p02_optional_columns", with_(CELLS) + 'SELECT cell_id, x, y, "CD45" FROM cells')
+def _(s, d):
+    return tables.guarded(views.cells(s, d), ["cell_id", "x", "y"], ["CD45", "no_such_marker"])
+
+
+@query("a06_filtered_sum", "SELECT l_returnflag, coalesce(sum(l_quantity) FILTER (l_linenumber <> 1), 0) AS total FROM lineitem GROUP BY 1")
+def _(s, d):
+    return tables.filtered_sum(views.table(s, d, "lineitem"), "l_quantity", "l_linenumber <> 1", ("l_returnflag",))
+
+
+@query(
+    "w06_throttled_progress",
+    "WITH e AS (SELECT event_id, user_id, cast(round(value) AS bigint) AS s FROM events), k AS (SELECT *, count(*) OVER w AS k, sum(s) OVER w AS t FROM e WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING)) SELECT event_id, user_id, s FROM k WHERE k % 5 = 0 OR floor(t / 30.0) > floor((t - s) / 30.0)",
+)
+def _(s, d):
+    e = views.table(s, d, "events").select("event_id", "user_id", F.round("value").cast("long").alias("s"))
+    return tables.throttled(e, "event_id", "s", "user_id")
+
+
+RARE = ("memory", "m2_type", "cd31_positive", "acta2_positive", "pdgfra_positive", "collagen_producing")
+
+
+@query(
+    "d03_d06_vessels_fibroblasts_memory_m2",
+    _typing_sql(PANEL) + "SELECT cell_type, cluster, count(*) AS cells, round(avg(confidence), 6) AS mean_confidence FROM typed JOIN cells USING (cell_id) WHERE ref_id = 1 AND cell_type IN (" + ", ".join(f"'{t}'" for t in RARE) + ") GROUP BY 1, 2",
+)
+def _(s, d):
+    rare = typed(s, d, PANEL).where(F.col("ref_id") == 1).where(F.col("cell_type").isin(*RARE))
+    return rounded(rare.join(views.cells(s, d).select("cell_id", "cluster"), "cell_id").groupBy("cell_type", "cluster").agg(F.count(F.lit(1)).alias("cells"), F.avg("confidence").alias("mean_confidence")))

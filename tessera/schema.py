@@ -49,27 +49,27 @@ PANEL = [c[2] for c in CHANNELS]
 #: The markers that are measured by default.
 MEASURED = ["DAPI", "CD45", "CD3E", "CD8a", "CD20", "CD68", "PANCK", "EPCAM", "VIM", "Ki67"]
 
-#: The cell-type rules, as row, ref_id, group, type, subtype, least confidence, marker=level conditions.
+#: The cell-type rules, as row, ref_id, group, type, subtype, rank filter, least confidence, conditions (marker, level).
 RULES = [
-    (1, 1, "epithelial", "tumor", "panck_positive", 30, "PANCK=high EPCAM=high CD45=low"),
-    (2, 1, "epithelial", "tumor", "epcam_positive", 30, "EPCAM=high PANCK=medium CD45=low"),
-    (3, 1, "immune", "tcell", "cd3_positive", 30, "CD3E=high CD45=high PANCK=low"),
-    (4, 1, "immune", "tcell", "cd8_cytotoxic", 30, "CD8a=high CD3E=high CD45=high"),
-    (5, 1, "immune", "tcell", "memory", 30, "CD45RO=high CD3E=high CD45=high"),
-    (6, 1, "immune", "bcell", "cd20_positive", 30, "CD20=high CD45=high CD3E=low"),
-    (7, 1, "immune", "plasma", "cd38_positive", 30, "CD38=high CD45=high CD20=medium"),
-    (8, 1, "immune", "macrophage", "cd68_positive", 30, "CD68=high CD45=high CD3E=low"),
-    (9, 1, "immune", "macrophage", "m2_type", 30, "CD163=high CD68=high CD45=high"),
-    (10, 1, "immune", "monocyte", "cd14_positive", 30, "CD14=high CD45=high CD68=medium"),
-    (11, 1, "immune", "dendritic", "cd11c_positive", 30, "CD11c=high CD45=high CD3E=low"),
-    (12, 1, "immune", "nk_cell", "cd56_positive", 30, "CD56=high CD45=high CD3E=low"),
-    (13, 1, "stromal", "fibroblast", "pdgfra_positive", 30, "PDGFRA=high VIM=high CD45=low"),
-    (14, 1, "stromal", "fibroblast", "collagen_producing", 30, "COL1A1=high VIM=high CD45=low"),
-    (15, 1, "endothelial", "vessel", "cd31_positive", 30, "CD31=high CD45=low PANCK=low"),
-    (16, 1, "smooth_muscle", "vessel", "acta2_positive", 30, "ACTA2=high CD31=medium CD45=low"),
-    (17, 1, "proliferating", "any", "ki67_positive", 20, "Ki67=high"),
-    (18, 2, "immune", "activated", "hladr_positive", 20, "HLADR=high CD45=high"),
-    (19, 2, "adhesion", "high_cd44", "cd44_positive", 20, "CD44=high"),
+    (1, 1, "epithelial", "tumor", "panck_positive", "positive_only", 30, [("PANCK", "high"), ("EPCAM", "high"), ("CD45", "low")]),
+    (2, 1, "epithelial", "tumor", "epcam_positive", "positive_only", 30, [("EPCAM", "high"), ("PANCK", "medium"), ("CD45", "low")]),
+    (3, 1, "immune", "tcell", "cd3_positive", "positive_only", 30, [("CD3E", "high"), ("CD45", "high"), ("PANCK", "low")]),
+    (4, 1, "immune", "tcell", "cd8_cytotoxic", "positive_only", 30, [("CD8a", "high"), ("CD3E", "high"), ("CD45", "high")]),
+    (5, 1, "immune", "tcell", "memory", "positive_only", 30, [("CD45RO", "high"), ("CD3E", "high"), ("CD45", "high")]),
+    (6, 1, "immune", "bcell", "cd20_positive", "positive_only", 30, [("CD20", "high"), ("CD45", "high"), ("CD3E", "low")]),
+    (7, 1, "immune", "plasma", "cd38_positive", "positive_only", 30, [("CD38", "high"), ("CD45", "high"), ("CD20", "medium")]),
+    (8, 1, "immune", "macrophage", "cd68_positive", "positive_only", 30, [("CD68", "high"), ("CD45", "high"), ("CD3E", "low")]),
+    (9, 1, "immune", "macrophage", "m2_type", "positive_only", 30, [("CD163", "high"), ("CD68", "high"), ("CD45", "high")]),
+    (10, 1, "immune", "monocyte", "cd14_positive", "positive_only", 30, [("CD14", "high"), ("CD45", "high"), ("CD68", "medium")]),
+    (11, 1, "immune", "dendritic", "cd11c_positive", "positive_only", 30, [("CD11c", "high"), ("CD45", "high"), ("CD3E", "low")]),
+    (12, 1, "immune", "nk_cell", "cd56_positive", "positive_only", 30, [("CD56", "high"), ("CD45", "high"), ("CD3E", "low")]),
+    (13, 1, "stromal", "fibroblast", "pdgfra_positive", "positive_only", 30, [("PDGFRA", "high"), ("VIM", "high"), ("CD45", "low")]),
+    (14, 1, "stromal", "fibroblast", "collagen_producing", "positive_only", 30, [("COL1A1", "high"), ("VIM", "high"), ("CD45", "low")]),
+    (15, 1, "endothelial", "vessel", "cd31_positive", "positive_only", 30, [("CD31", "high"), ("CD45", "low"), ("PANCK", "low")]),
+    (16, 1, "smooth_muscle", "vessel", "acta2_positive", "positive_only", 30, [("ACTA2", "high"), ("CD31", "medium"), ("CD45", "low")]),
+    (17, 1, "proliferating", "any", "ki67_positive", "positive_only", 20, [("Ki67", "high")]),
+    (18, 2, "immune", "activated", "hladr_positive", "positive_only", 20, [("HLADR", "high"), ("CD45", "high")]),
+    (19, 2, "adhesion", "high_cd44", "cd44_positive", "positive_only", 20, [("CD44", "high")]),
 ]
 RULE_CSV = "ref_id INT, cell_group STRING, cell_type STRING, cell_subtype STRING, rank_filter STRING, min_confidence INT, marker1 STRING, rule1 STRING, marker2 STRING, rule2 STRING, marker3 STRING, rule3 STRING"
 

@@ -82,3 +82,36 @@ def write_fcs(df: DataFrame, columns: list[str], path: str) -> None:
     rows = (tuple(float(v) if v is not None else 0.0 for v in r) for r in df.select(*columns).toLocalIterator())
     with open(path, "wb") as f:
         f.write(fcs_bytes(columns, rows))
+
+
+def text_summary(values: dict[str, object]) -> str:
+    """Lines `name: value` of a run's summary, figures with thousands separators."""
+    shown = lambda v: f"{v:,}" if isinstance(v, int) and not isinstance(v, bool) else f"{v:,.2f}" if isinstance(v, float) else str(v)
+    return "\n".join(f"{k}: {shown(v)}" for k, v in values.items()) + "\n"
+
+
+def write_outputs(outputs: dict[str, DataFrame], folder: str) -> dict[str, str]:
+    """Each table as <folder>/<name>: CSV folders for .csv names, JSON lines for .json, Parquet for all others; where each is."""
+    paths = {}
+    for name, df in outputs.items():
+        path = f"{folder.rstrip('/')}/{name}"
+        if name.endswith(".csv"):
+            write_csv(df, path)
+        elif name.endswith(".json"):
+            df.write.mode("overwrite").json(path)
+        else:
+            df.write.mode("overwrite").parquet(path)
+        paths[name] = path
+    return paths
+
+
+def clean(spark, folder: str, names: list[str]) -> list[str]:
+    """Delete the named outputs of a folder and nothing else; those that were there. Names that lead out of it are an error."""
+    gone = []
+    for name in names:
+        if not name or name.startswith("/") or ".." in name.split("/"):
+            raise ValueError(f"{name!r} isn't a name inside the folder")
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{name}")
+        if path.getFileSystem(spark._jsc.sc().hadoopConfiguration()).delete(path, True):
+            gone.append(name)
+    return gone

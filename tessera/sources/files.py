@@ -48,6 +48,28 @@ def first_existing(candidates: list[str]) -> str:
     raise FileNotFoundError(f"none of {candidates}")
 
 
+def staged(expected: dict[str, str], folders: list[str]) -> dict[str, str]:
+    """Where each expected input (name -> file name) stands: the first of the folders that holds it. Nothing is copied or linked.
+
+    Missing ones are an error that names the first five and how many more there are.
+    """
+    found = {}
+    for n, f in expected.items():
+        places = [Path(d) / f for d in folders]
+        if at := next((p for p in places if p.exists()), None):
+            found[n] = str(at)
+    if lost := [n for n in expected if n not in found]:
+        raise FileNotFoundError(", ".join(lost[:5]) + (f" and {len(lost) - 5} more" if len(lost) > 5 else ""))
+    return found
+
+
+def parse_lines(lines: DataFrame, schema: str, column: str = "value", sep: str = ", ") -> DataFrame:
+    """Fields of separated lines, such as a tool's report, under a schema `name type, ...`; what can't be read is null."""
+    fields = [f.split(None, 1) for f in schema.split(",")]
+    parts = F.split(column, re.escape(sep))
+    return lines.select(*[F.get(parts, F.lit(k)).alias(f"_{k}") for k in range(len(fields))]).select(*[F.expr(f"try_cast(trim(_{k}) as {kind.strip()})").alias(name) for k, (name, kind) in enumerate(fields)])
+
+
 POINT = re.compile(r"new\s+Point2\(\s*([-\d.eE]+)\s*,\s*([-\d.eE]+)\s*\)")
 HEADING = re.compile(r"//\s*Region\s+(\d+)[^\n]*?\barea\b\D*([\d.,]+)", re.I)
 NAMED = re.compile(r"Region_(\d+)")
