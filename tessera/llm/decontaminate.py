@@ -87,7 +87,8 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = 10, shin
 
     n_hit counts the document's words inside any occurrence of any window. Null or empty texts have no words; items
     without words have no windows. Rows that repeat an id are judged each by its own text; a null id stays null. An
-    empty table of items hits nothing; an empty table of documents gives no rows. Other columns are ignored.
+    empty table of items hits nothing; an empty table of documents gives no rows. Other columns are ignored. The occurrences
+    of one text are put in order together, so a task holds at most one text's; copies of a text count once.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), words(text).alias("w"), F.md5(text).alias("row_key"), *keep)

@@ -353,6 +353,9 @@ def test_licenses_are_found(spark):
     got = {r.doc_id: r for r in license_scan.scan_licenses(docs(spark, rows)).collect()}
     assert [got[100 + k].license for k in range(len(license_scan.TEMPLATES))] == list(license_scan.TEMPLATES)
     assert got[200].license == "MIT" and all(got[k].license is None for k, _ in ODD)
+    assert got[100 + list(license_scan.TEMPLATES).index("BSD-3-Clause-text")].found == ["BSD-2-Clause-text", "BSD-3-Clause-text", "BSD-conditions"]
+    stray = "version " + "filler " * 100 + "Licensed under the Apache License, 2.0. " * 2
+    assert license_scan.scan_licenses(docs(spark, [(1, stray)])).first().license == "Apache-2.0"
     assert license_scan.scan_licenses(docs(spark, [])).count() == 0
     bare = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     lines = "Released under the MIT License.|Licensed under the Apache License, Version 2.0.|GNU General Public License, version 3|Licensed under CC BY-NC 4.0."
