@@ -104,8 +104,8 @@ def interaction_matrix(scores: DataFrame, types: list) -> DataFrame:
     return every.join(wide, "cell_type", "left").na.fill(0, [str(t) for t in types])
 
 
-def nearest(cells: DataFrame, columns: list[str], k: int, block: int = 2000) -> DataFrame:
-    """cell_id, other, rank, d2: the k nearest others by Euclidean distance over columns; ties by id.
+def nearest(cells: DataFrame, columns: list[str], k: int, block: int = 2000, only: DataFrame | None = None) -> DataFrame:
+    """cell_id, other, rank, d2: the k nearest others by Euclidean distance over columns; ties by id. only: cell_ids to ask for.
 
     Exact: cells are dealt into blocks by hash and each pair of blocks is compared by one task with numpy, which gives
     each cell's k best of that block; the best of these are kept. Work is the square of the cells, memory is one pair of
@@ -114,7 +114,8 @@ def nearest(cells: DataFrame, columns: list[str], k: int, block: int = 2000) ->
     n = max(1, math.ceil(cells.count() / block))
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
     vec = cells.select("cell_id", F.array(*[F.col(c).cast("double") for c in columns]).alias("v"), F.pmod(F.xxhash64("cell_id"), F.lit(n)).alias("blk"))
-    asks = vec.select("cell_id", "v", F.col("blk").alias("i"), every.alias("j"), F.lit(True).alias("asks"))
+    asked = vec if only is None else vec.join(only.select("cell_id").distinct(), "cell_id", "left_semi")
+    asks = asked.select("cell_id", "v", F.col("blk").alias("i"), every.alias("j"), F.lit(True).alias("asks"))
     gives = vec.select("cell_id", "v", every.alias("i"), F.col("blk").alias("j"), F.lit(False).alias("asks"))
 
     def best(pdf: pd.DataFrame) -> pd.DataFrame:
