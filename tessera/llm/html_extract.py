@@ -258,7 +258,7 @@ def _measure(found: list[Block], nodes: list[Node]) -> None:
         n.core = n.core or n.parent.core and core.prose > 0
 
 
-FEATURES = 30
+FEATURES = 29
 
 
 def features(found: list[Block], nodes: list[Node], cues: dict[str, float]) -> np.ndarray:
@@ -282,8 +282,7 @@ def features(found: list[Block], nodes: list[Node], cues: dict[str, float]) -> n
                 min(1.0, size / 400),
                 min(1.0, b.linked / size),
                 min(1.0, 20 * stops / size) if size > 20 else 0.0,
-                cue,
-                0.0 if inside and not above & NOT_INSIDE else cue,
+                0.0 if inside and not above & NOT_INSIDE else cue,  # an article may speak of anything
                 n.tag in PARAGRAPH,
                 n.tag in HEADING,
                 n.tag in CELL,
