@@ -24,7 +24,8 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,6 +118,30 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f JOIN b ON f.source IS NOT DISTINCT FROM b.source
 """
 
+#: Every pair of texts that share a shingle, then all that links reach: the exact result, without MinHash.
+OP3_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, row_number() OVER () AS n, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS MATERIALIZED (
+  SELECT doc_id, n, CASE WHEN len(w) = 0 THEN []
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM texts
+), members AS (
+  SELECT n, len(s) AS size, unnest(s) AS shingle FROM sets
+), common AS (
+  SELECT a.n AS a, b.n AS b, any_value(a.size) AS size_a, any_value(b.size) AS size_b, count(*) AS shared
+  FROM members a JOIN members b ON a.shingle = b.shingle AND a.n < b.n GROUP BY a.n, b.n
+), links AS (
+  SELECT a, b FROM common WHERE 100 * shared >= 85 * (size_a + size_b - shared)
+), edges AS (
+  SELECT a, b FROM links UNION SELECT b, a FROM links
+), reached(a, b) AS (
+  SELECT n, n FROM sets UNION SELECT r.a, e.b FROM reached r JOIN edges e ON r.b = e.a
+)
+SELECT s.doc_id, any_value(len(s.s)) AS n_shingles, min(t.doc_id) AS component_id, s.doc_id = min(t.doc_id) AS kept
+FROM reached r JOIN sets s ON r.a = s.n JOIN sets t ON r.b = t.n GROUP BY s.n, s.doc_id
+"""
+
 OP6_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
@@ -157,4 +182,4 @@ SELECT conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars,
 FROM g
 """
 
-ORACLES = {"op6_decontaminate": OP6_SQL, "op8_quality_rules": OP8_SQL, "op10_chat_format": OP10_SQL}
+ORACLES = {"op3_minhash": OP3_SQL, "op6_decontaminate": OP6_SQL, "op8_quality_rules": OP8_SQL, "op10_chat_format": OP10_SQL}
