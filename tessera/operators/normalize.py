@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .tables import ranges
+
 
 def log_norm(long: DataFrame, value: str = "raw", out: str = "norm") -> DataFrame:
     return long.withColumn(out, F.log1p(F.greatest(F.col(value), F.lit(0.0))))
@@ -27,20 +29,20 @@ def ranks(long: DataFrame, value: str, key: str, by: str, name: str = "_r") -> D
     """Rows with their rank from 1 by value, then key, within `by`.
 
     Rows are dealt into ranges of (by, value, key); each range is numbered by itself and its offset within `by` is a
-    running sum over the ranges' counts (a row per range and `by`), so no task holds all rows of one `by`.
+    running sum over the ranges' counts (a row per range and `by`), so no task holds all rows of one `by`. Nulls are last.
     """
-    ranged = long.repartitionByRange(by, value, key).withColumn("_p", F.spark_partition_id())
-    counts = ranged.groupBy(by, "_p").agg(F.count(F.lit(1)).alias("_n"))
-    before = counts.select(by, "_p", (F.sum("_n").over(Window.partitionBy(by).orderBy("_p")) - F.col("_n")).alias("_before"))
-    numbered = ranged.withColumn("_k", F.row_number().over(Window.partitionBy("_p", by).orderBy(value, key)))
-    return numbered.join(F.broadcast(before), [by, "_p"]).withColumn(name, F.col("_before") + F.col("_k")).drop("_p", "_k", "_before")
+    ranged = ranges(long, [by, value, key], "_p")
+    counts = ranged.groupBy(F.col(by).alias("_by"), F.col("_p").alias("_q")).agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select("_by", "_q", (F.sum("_n").over(Window.partitionBy("_by").orderBy("_q")) - F.col("_n")).alias("_before"))
+    numbered = ranged.withColumn("_k", F.row_number().over(Window.partitionBy("_p", by).orderBy(F.col(value).asc_nulls_last(), F.col(key).asc_nulls_last())))
+    placed = numbered.join(F.broadcast(before), (F.col("_p") == F.col("_q")) & F.col(by).eqNullSafe(F.col("_by")))
+    return placed.withColumn(name, F.col("_before") + F.col("_k")).drop("_p", "_k", "_by", "_q", "_before")
 
 
 def quantile_norm(long: DataFrame, value: str = "raw", out: str = "norm", by: str = "marker", key: str = "cell_id") -> DataFrame:
     """Each value becomes the mean over markers of the values of its rank; equal values are ranked by cell."""
-    ranked = ranks(long, value, key, by)
-    means = ranked.groupBy("_r").agg(F.avg(value).alias(out))
-    return ranked.join(means, "_r").drop("_r")
+    same = Window.partitionBy("_r")  # a row per marker
+    return ranks(long, value, key, by).withColumn(out, F.avg(value).over(same)).drop("_r")
 
 
 def balance_tiles(pixels: DataFrame, tile: str, value: str, out: str = "balanced") -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql.window import Window
 
 #: Columns that are no markers.
 META = ("cell_id", "x", "y", "area", "perimeter", "cluster", "cluster_size", "refined", "neighbors", "local_density", "dim1", "dim2")
+#: Ranges for each shuffle partition, and the rows that their bounds are taken from.
+RANGES, BOUND_ROWS = 4, 20_000
 
 
 def marker_columns(df: DataFrame) -> list[str]:
@@ -35,6 +37,24 @@ def measurements(df: DataFrame, markers: list[str], keep: tuple[str, ...] = ())
     return df.select("cell_id", *keep, *[F.col(m).cast("double").alias(m) for m in markers]).unpivot(["cell_id", *keep], markers, "marker", "raw")
 
 
+def ranges(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Rows with the number of their range, from 0, of ranges of about equal size in the given order, nulls last as in SQL.
+
+    Bounds are taken from some 20,000 rows that are picked by their hash, so a row's range follows from the values alone
+    and is the same wherever the plan computes it. Partitions of repartitionByRange aren't: where two branches of a plan
+    don't share the exchange, each has its own sample, other bounds and other partitions joined into one.
+    """
+    n = RANGES * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.struct(*[f for k, c in enumerate(order) for f in (F.col(c).isNull().alias(f"n{k}"), F.col(c).alias(f"v{k}"))])
+    every = F.greatest(F.floor(df.agg((F.count(F.lit(1)) / BOUND_ROWS).alias("n")).scalar()), F.lit(1).cast("long"))
+    picked = df.select(place.alias("k")).where(F.pmod(F.xxhash64("k"), every) == 0).distinct().agg(F.sort_array(F.collect_list("k")).alias("k"))
+    bounds = picked.select(F.transform(F.sequence(F.lit(1), F.lit(n - 1)), lambda i: F.get("k", F.floor(i * F.size("k") / n).cast("int"))).alias("b")).scalar()
+    out = df.withColumns({"_place": place, name: F.lit(0)})
+    for step in (1 << k for k in reversed(range(n.bit_length()))):  # the number of bounds up to a row's place, by halves; beyond the array's end get gives null
+        out = out.withColumn(name, F.col(name) + F.when(F.get(bounds, F.col(name) + (step - 1)) <= F.col("_place"), step).otherwise(0))
+    return out.drop("_place")
+
+
 def with_row_index(df: DataFrame, order: list[str], name: str = "row_idx") -> DataFrame:
     """Number rows from 0 in a total order without one task holding all: ranges are counted, then numbered from offsets."""
     ranged = df.repartitionByRange(*[F.col(c) for c in order]).withColumn("_p", F.spark_partition_id())
