@@ -56,12 +56,12 @@ def ranges(df: DataFrame, order: list[str], name: str) -> DataFrame:
 
 
 def with_row_index(df: DataFrame, order: list[str], name: str = "row_idx") -> DataFrame:
-    """Number rows from 0 in a total order without one task holding all: ranges are counted, then numbered from offsets."""
-    ranged = df.repartitionByRange(*[F.col(c) for c in order]).withColumn("_p", F.spark_partition_id())
+    """Number rows from 0 in a total order, nulls last, without one task holding all: ranges are counted, then numbered from offsets."""
+    ranged = ranges(df, order, "_p")
     counts = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select("_p", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_before"))  # a row per partition
-    numbered = ranged.withColumn("_k", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
-    return numbered.join(F.broadcast(offsets), "_p").withColumn(name, F.col("_before") + F.col("_k") - 1).drop("_p", "_n", "_k", "_before")
+    offsets = counts.select("_p", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_before"))  # a row per range
+    numbered = ranged.withColumn("_k", F.row_number().over(Window.partitionBy("_p").orderBy(*[F.col(c).asc_nulls_last() for c in order])))
+    return numbered.join(F.broadcast(offsets), "_p").withColumn(name, F.col("_before") + F.col("_k") - 1).drop("_p", "_k", "_before")
 
 
 def positional_join(a: DataFrame, b: DataFrame, order_a: list[str], order_b: list[str]) -> DataFrame:
